@@ -272,7 +272,8 @@ Q["payment_distribution"] = f"""
 SELECT payment_type, COUNT(*) AS cnt, {money('payment_value')} AS total
 FROM stg_order_payments JOIN stg_orders USING (order_id) GROUP BY 1"""
 Q["payment_share"] = f"""
-SELECT *, {r('total * 1e2 / SUM(total) OVER ()', 6)} AS share_pct FROM ({Q['payment_distribution']})"""
+SELECT *, {r('total * 1e2 / SUM(total) OVER ()', 6)} AS share_pct
+FROM (SELECT payment_type, total FROM ({Q['payment_distribution']}))"""
 Q["review_distribution"] = """
 SELECT review_score, COUNT(*) AS cnt FROM stg_order_reviews JOIN stg_orders USING (order_id) GROUP BY 1"""
 Q["delivery_stats"] = f"""

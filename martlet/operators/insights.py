@@ -357,18 +357,25 @@ def deal_age_heatmap(src: Sources, as_of: str | None = None) -> DataFrame:
 
     Without a date, ages are taken at the latest creation date.
     """
-    crm = _crm(src)
-    today = F.lit(as_of).cast("date") if as_of else crm.agg(F.max("create_date")).scalar()
-    age = F.datediff(today, F.col("create_date"))
+    # one row per stage and day first: the ages then need one pass over the open deals
+    daily = _crm(src).groupBy("stage", "create_date").agg(_rows().alias("n"))
+    today = F.lit(as_of).cast("date") if as_of else daily.agg(F.max("create_date")).scalar()
+    age = F.col("_age")
     buckets = {
         "age_0_30": age <= 30,
         "age_31_60": (age > 30) & (age <= 60),
         "age_61_90": (age > 60) & (age <= 90),
         "age_90_plus": age > 90,
     }
-    # the age is computed before the aggregate: a subquery may not stand inside one
-    dated = crm.filter(~_closed()).withColumns(buckets)
-    counted = dated.groupBy("stage").agg(_rows().alias("deals"), *[count_if(F.col(b)).alias(b) for b in buckets])
+    counted = (
+        daily.filter(~_closed())
+        .withColumn("_age", F.datediff(today, F.col("create_date")))
+        .groupBy("stage")
+        .agg(
+            F.sum("n").alias("deals"),
+            *[F.sum(F.when(cond, F.col("n")).otherwise(0)).alias(b) for b, cond in buckets.items()],
+        )
+    )
     share = lambda b: half_up(F.try_divide(F.col(b) * F.lit(100.0), F.col("deals")), 1)
     return counted.select("stage", "deals", *[share(b).alias(b) for b in buckets])
 

@@ -386,7 +386,8 @@ def linear_share(src: Sources) -> DataFrame:
 
 
 def payment_share(src: Sources, start=None, end=None) -> DataFrame:
-    return share_of_total(payment_distribution(src, start, end), "total")
+    paid = payment_distribution(src, start, end).select("payment_type", "total")
+    return share_of_total(paid, "total")
 
 
 def segment_share(src: Sources) -> DataFrame:

@@ -108,25 +108,29 @@ def _fixed_rows(raw: RawTables, rows: list[tuple], columns: list[str]) -> DataFr
     return raw.spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def orders(raw: RawTables) -> DataFrame:
+def _orders(raw: RawTables) -> DataFrame:
     key, at = F.col("o_orderkey"), "o_orderdate"
     delivered = (F.col("o_orderstatus") == "F") & (key % 17 != 0)
     return raw("orders").select(
         key.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
-        # a CASE, not a map: the optimizer turns a filter on it into one on the stored column
+        # nested, not a map: the optimizer turns a filter on it into one on the stored column
         F.when(F.col("o_orderstatus") == "F", "delivered")
-        .when(F.col("o_orderstatus") == "O", "shipped")
-        .otherwise("processing")
+        .otherwise(F.when(F.col("o_orderstatus") == "O", "shipped").otherwise("processing"))
         .alias("order_status"),
         _later(at, 0, key % 24).alias("order_purchase_timestamp"),
         _later(at, 1).alias("order_approved_at"),
         _later(at, 2).alias("order_delivered_carrier_date"),
         F.when(delivered, _later(at, 1 + key % 30, key % 7)).alias("order_delivered_customer_date"),
         _later(at, 20).alias("order_estimated_delivery_date"),
+        "o_orderpriority",
     )
 
 
+def orders(raw: RawTables) -> DataFrame:
+    return _orders(raw).drop("o_orderpriority")
+
+
 def order_items(raw: RawTables) -> DataFrame:
     order_by = [
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate",
@@ -384,9 +388,7 @@ def hubspot_contacts(raw: RawTables) -> DataFrame:
 
 
 def _all_orders_with_revenue(raw: RawTables) -> DataFrame:
-    priority = raw("orders").select(F.col("o_orderkey").alias("order_id"), "o_orderpriority")
-    paid = orders_with_revenue(orders(raw), order_payments(raw), delivered_only=False)
-    return paid.join(priority, "order_id")
+    return orders_with_revenue(_orders(raw), order_payments(raw), delivered_only=False)
 
 
 def hubspot_deals(raw: RawTables) -> DataFrame:
