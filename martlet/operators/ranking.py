@@ -17,19 +17,18 @@ def number_rows(
     order_by: list[str],
     position: str,
     total: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Adds each row's 1-based position in its group, and the group's size if asked for.
 
     A plain window sorts a whole group in one task. Groups above ``hot_rows`` take another way:
     their rows are sorted across the cluster by (key, order), each partition counts what it
     holds of a group, and a row's position is its place in the partition plus the counts of the
-    partitions before. The count that finds such groups reads the key column only and combines
-    map-side; with none found, the plan is the plain window.
+    partitions before. Without any such group the plan is the plain window. ``hot_rows=None``
+    says that the groups are known to be small.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-    hot_keys = sizes.filter(F.col("_size") > hot_rows).select(F.col(key).alias("_hot"))
-    if hot_keys.isEmpty():
+    hot_keys = _hot_keys(df, key, hot_rows) if hot_rows else None
+    if hot_keys is None:
         return _by_window(df, key, order_by, position, total)
     is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     cold = df.join(hot_keys, is_hot, "left_anti")
@@ -39,6 +38,26 @@ def number_rows(
     )
 
 
+def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
+    """The keys with about ``hot_rows`` rows or more, None if there are none.
+
+    They are looked for in a sample of the key column in which such a key still has about a
+    thousand rows. The sample only decides which way a key's rows are sorted: each key goes one
+    way with all of its rows, so the positions are exact whatever it finds. The checkpoint keeps
+    the choice the same in both joins, and it holds at most one key per ``hot_rows`` rows.
+    """
+    fraction = min(1.0, 1000 / hot_rows)
+    keys = df.select(F.col(key).alias("_hot"))
+    sampled = keys if fraction == 1.0 else keys.sample(fraction, seed=17)
+    frequent = (
+        sampled.groupBy("_hot").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0.9 * fraction * hot_rows)
+    )
+    if frequent.isEmpty():
+        return None
+    ensure_checkpoint_dir(df.sparkSession)
+    return frequent.select("_hot").checkpoint()
+
+
 def _by_window(df, key, order_by, position, total):
     group = Window.partitionBy(key)
     out = df.withColumn(position, F.row_number().over(group.orderBy(*order_by)))

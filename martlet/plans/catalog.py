@@ -396,8 +396,8 @@ def _touchpoints(src: Sources) -> DataFrame:
 
 @query
 def assign_touch_credits(src: Sources) -> DataFrame:
-    """Credits for the touchpoints of web purchases."""
-    credited = builders.assign_touch_credits(_touchpoints(src), ["touch_date", "channel"])
+    """Credits for the touchpoints of web purchases (at most one per channel and day of an order)."""
+    credited = builders.assign_touch_credits(_touchpoints(src), ["touch_date", "channel"], hot_rows=None)
     return credited.select(
         "order_id", "channel", "touch_date", "touchpoint_position", "total_touchpoints",
         "first_touch_credit", "last_touch_credit", "linear_credit",

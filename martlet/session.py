@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.showConsoleProgress": "false",
+    # recording the Python call site of every column expression doubles the time to build a plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -71,13 +71,43 @@ TRANSLATIONS = [
 ]
 
 
+# Columns of the test tables that the adapters read.
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": """p_partkey long, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id long, ts timestamp_ntz, user_id long, event_type string, value double,
+        props string""",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
+
+
 class RawTables:
+    """The test tables, and the adapted tables built from them, each built once."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self._dir = sf_dir.rstrip("/")
+        self._memo: dict[object, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        if name not in self._memo:
+            reader = self.spark.read.schema(RAW_SCHEMAS[name])
+            self._memo[name] = reader.parquet(f"{self._dir}/{name}.parquet")
+        return self._memo[name]
+
+    def adapted(self, fn: Callable[[RawTables], DataFrame]) -> DataFrame:
+        if fn not in self._memo:
+            self._memo[fn] = fn(self)
+        return self._memo[fn]
 
 
 def _cents(amount: str) -> Column:
@@ -128,7 +158,7 @@ def _orders(raw: RawTables) -> DataFrame:
 
 
 def orders(raw: RawTables) -> DataFrame:
-    return _orders(raw).drop("o_orderpriority")
+    return raw.adapted(_orders).drop("o_orderpriority")
 
 
 def order_items(raw: RawTables) -> DataFrame:
@@ -202,7 +232,7 @@ def _places(raw: RawTables) -> DataFrame:
 def customers(raw: RawTables) -> DataFrame:
     return (
         raw("customer")
-        .join(_places(raw), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(raw.adapted(_places), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("c_custkey").alias("customer_id"),
             F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("customer_unique_id"),
@@ -216,7 +246,7 @@ def customers(raw: RawTables) -> DataFrame:
 def _sellers(raw: RawTables) -> DataFrame:
     return (
         raw("supplier")
-        .join(_places(raw), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(raw.adapted(_places), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("s_suppkey").alias("seller_id"),
             F.col("s_nationkey").cast("string").alias("seller_zip_code_prefix"),
@@ -228,7 +258,7 @@ def _sellers(raw: RawTables) -> DataFrame:
 
 
 def sellers(raw: RawTables) -> DataFrame:
-    return _sellers(raw).drop("s_acctbal")
+    return raw.adapted(_sellers).drop("s_acctbal")
 
 
 def products(raw: RawTables) -> DataFrame:
@@ -271,7 +301,7 @@ def _value_of(kind: str) -> Column:
 def ga4_daily_sessions(raw: RawTables) -> DataFrame:
     sessions, engaged = F.col("sessions"), F.col("engaged_sessions")
     return (
-        _traffic(raw)
+        raw.adapted(_traffic)
         .groupBy(
             "date",
             pick(CHANNEL_GROUPS, F.col("user_id") % 7).alias("channel_group"),
@@ -300,7 +330,7 @@ def ga4_daily_sessions(raw: RawTables) -> DataFrame:
 def google_ads_daily_performance(raw: RawTables) -> DataFrame:
     at = F.col("_at")
     daily = (
-        _traffic(raw)
+        raw.adapted(_traffic)
         .groupBy("date", (F.col("user_id") % len(GOOGLE_CAMPAIGNS)).alias("_at"))
         .agg(
             F.count(F.lit(1)).alias("impressions"),
@@ -327,7 +357,7 @@ def google_ads_daily_performance(raw: RawTables) -> DataFrame:
 def meta_ads_daily_performance(raw: RawTables) -> DataFrame:
     at = F.col("_at")
     daily = (
-        _traffic(raw)
+        raw.adapted(_traffic)
         .groupBy("date", (F.col("user_id") % len(META_CAMPAIGNS)).alias("_at"))
         .agg(
             F.count(F.lit(1)).alias("impressions"),
@@ -366,7 +396,7 @@ def meta_ads_campaigns(raw: RawTables) -> DataFrame:
 
 def hubspot_contacts(raw: RawTables) -> DataFrame:
     """Customers with delivered orders, keyed by the person's id."""
-    history = contacts_rollup(customers(raw), orders_with_revenue(orders(raw), order_payments(raw)))
+    history = contacts_rollup(raw.adapted(customers), orders_with_revenue(raw.adapted(orders), raw.adapted(order_payments)))
     names = raw("customer").select(
         F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("customer_unique_id"),
         "c_custkey", "c_name", "c_mktsegment",
@@ -388,23 +418,23 @@ def hubspot_contacts(raw: RawTables) -> DataFrame:
 
 
 def _all_orders_with_revenue(raw: RawTables) -> DataFrame:
-    return orders_with_revenue(_orders(raw), order_payments(raw), delivered_only=False)
+    return orders_with_revenue(raw.adapted(_orders), raw.adapted(order_payments), delivered_only=False)
 
 
 def hubspot_deals(raw: RawTables) -> DataFrame:
     lost = (F.col("order_status") == "processing") & (F.col("o_orderpriority") == "5-LOW")
-    return deals_from_orders(_all_orders_with_revenue(raw), lost, F.col("order_id"))
+    return deals_from_orders(raw.adapted(_all_orders_with_revenue), lost, F.col("order_id"))
 
 
 def salesforce_opportunities(raw: RawTables) -> DataFrame:
     """Orders of the priorities that sales handles."""
-    handled = _all_orders_with_revenue(raw).filter(F.col("o_orderpriority").isin(SALES_PRIORITIES))
+    handled = raw.adapted(_all_orders_with_revenue).filter(F.col("o_orderpriority").isin(SALES_PRIORITIES))
     lost = (F.col("order_status") == "processing") & (F.col("o_orderpriority") == "3-MEDIUM")
     return opportunities_from_orders(handled, lost, F.col("order_id"))
 
 
 def salesforce_accounts(raw: RawTables) -> DataFrame:
-    return accounts_from_sellers(_sellers(raw), _money(_cents("s_acctbal")), F.col("seller_id"))
+    return accounts_from_sellers(raw.adapted(_sellers), _money(_cents("s_acctbal")), F.col("seller_id"))
 
 
 def marketing_attribution(raw: RawTables) -> DataFrame:
@@ -438,7 +468,7 @@ def marketing_attribution(raw: RawTables) -> DataFrame:
 
 def web_events(raw: RawTables) -> DataFrame:
     """Single web events of known people (for lead features and touchpoints)."""
-    return _traffic(raw).select(
+    return raw.adapted(_traffic).select(
         "event_id",
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("customer_id"),
         "event_type",

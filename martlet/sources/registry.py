@@ -64,7 +64,7 @@ def file_sources(
 def derived_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """The logical sources derived from the star-schema test tables in ``sf_dir``."""
     raw = adapters.RawTables(spark, sf_dir)
-    return Sources(spark, lambda name: adapters.ADAPTERS[name](raw), sf_dir)
+    return Sources(spark, lambda name: raw.adapted(adapters.ADAPTERS[name]), sf_dir)
 
 
 def read_source(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
