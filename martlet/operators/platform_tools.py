@@ -105,19 +105,24 @@ def ga4_daily_trends(src: Sources, channel: str | None = None) -> DataFrame:
 
 
 def contacts_summary(src: Sources, cities: int = 10) -> DataFrame:
-    """Long form: contacts per lifecycle stage, per top city, and in total."""
-    contacts = src.model(stg_hubspot_contacts)
+    """Long form: contacts per lifecycle stage, per top city, and in total.
+
+    The contacts are folded to (stage, city) once; the three parts share that shuffle.
+    """
+    folded = src.model(stg_hubspot_contacts).groupBy("lifecycle_stage", "city").agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
     def counted(kind: str, column: str) -> DataFrame:
         return (
-            _present(contacts, column)
+            _present(folded, column)
             .groupBy(F.col(column).alias("key"))
-            .agg(F.count(F.lit(1)).alias("contacts"))
+            .agg(F.sum("n").alias("contacts"))
             .select(F.lit(kind).alias("kind"), "key", "contacts")
         )
 
     top = counted("city", "city").orderBy(F.col("contacts").desc(), F.col("key").asc()).limit(cities)
-    total = contacts.agg(F.count(F.lit(1)).alias("contacts")).select(
+    total = folded.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("contacts")).select(
         F.lit("total").alias("kind"), F.lit("all").alias("key"), "contacts"
     )
     return union_all([counted("lifecycle_stage", "lifecycle_stage"), top, total])
