@@ -352,7 +352,8 @@ SELECT channel, linear_revenue, {r('linear_revenue * 1e2 / SUM(linear_revenue) O
 FROM fct_marketing_attribution"""
 
 # Insights
-_DAILY = f"SELECT date, channel_group, {isum('sessions')} AS sessions FROM stg_ga4_sessions GROUP BY 1, 2"
+_DAILY = f"""SELECT date, channel_group, {isum('sessions')} AS sessions FROM stg_ga4_sessions GROUP BY 1, 2
+  UNION ALL SELECT date, 'all', {isum('sessions')} FROM stg_ga4_sessions GROUP BY 1"""
 Q["rolling_avg"] = f"""
 SELECT *, {r('AVG(sessions) OVER (PARTITION BY channel_group ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)', 0)}
   AS rolling_avg FROM ({_DAILY})"""

@@ -42,10 +42,17 @@ def _rows() -> Column:
 # Traffic
 
 
-def _daily_by_channel(src: Sources) -> DataFrame:
-    return (
+def _daily_sessions(src: Sources) -> DataFrame:
+    """Sessions per day as one series per channel, and one over all of them (``all``)."""
+    by_channel = (
         src.model(stg_ga4_sessions).groupBy("date", "channel_group").agg(F.sum("sessions").alias("sessions"))
     )
+    total = (
+        by_channel.groupBy("date")
+        .agg(F.sum("sessions").alias("sessions"))
+        .select("date", F.lit("all").alias("channel_group"), "sessions")
+    )
+    return by_channel.unionByName(total)
 
 
 def rolling_avg(df: DataFrame, day: str, value: str, by: str, w: int = 7) -> DataFrame:
@@ -55,7 +62,7 @@ def rolling_avg(df: DataFrame, day: str, value: str, by: str, w: int = 7) -> Dat
 
 
 def sessions_rolling_avg(src: Sources, w: int = 7) -> DataFrame:
-    return rolling_avg(_daily_by_channel(src), "date", "sessions", "channel_group", w)
+    return rolling_avg(_daily_sessions(src), "date", "sessions", "channel_group", w)
 
 
 def detect_anomalies(
@@ -84,7 +91,7 @@ def detect_anomalies(
 
 
 def session_anomalies(src: Sources, threshold: float = 0.30) -> DataFrame:
-    return detect_anomalies(_daily_by_channel(src), "date", "sessions", "channel_group", threshold)
+    return detect_anomalies(_daily_sessions(src), "date", "sessions", "channel_group", threshold)
 
 
 def traffic_kpis(src: Sources) -> DataFrame:

@@ -34,6 +34,7 @@ def build_session(app: str = "martlet", master: str | None = None, **extra: str)
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir`` (shared by all executors).
 
+    The folders of an application share a parent named after it, which may go when it has ended.
     Only a local session may go without the setting; it then gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,7 +42,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="martlet-")
-    return f"{base.rstrip('/')}/martlet/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/martlet/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
