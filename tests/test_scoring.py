@@ -112,3 +112,12 @@ def test_declared_assertions():
     assert sum(len(c.unique) for c in suites) == 15
     assert sum(len(c.not_null) for c in suites) == 58
     assert sum(len(c.accepted) for c in suites) == 6
+
+
+def test_stream_without_leads_gives_an_empty_alert_table(spark, leads, model, tmp_path):
+    inbound = leads.drop("is_won")
+    inbound.limit(0).write.parquet(str(tmp_path / "inbox"))
+    got = route_leads(
+        spark, str(tmp_path / "inbox"), inbound.schema, model, str(tmp_path / "alerts"), str(tmp_path / "checkpoint")
+    )
+    assert got.columns == ["contact_id", "email", "score", "action"] and got.count() == 0
