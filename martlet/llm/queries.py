@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import license_rules, url_rules, warc_store
+from martlet.llm import license_rules, repetition, url_rules, warc_store
 from martlet.session import scratch_dir
 
 
@@ -28,13 +28,19 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), url_rules.base_rules(spark))
 
 
+def op9_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge_documents(_table(spark, sf_dir, "documents")).drop("longest_repeat")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": op2_warc_archive,
     "op5_license_scan": op5_license_scan,
     "op6_url_filter": op6_url_filter,
+    "op9_repetition_quality": op9_repetition_quality,
 }
 
 ORACLE: dict[str, str] = {
     "op2_warc_archive": warc_store.ORACLE,
     "op6_url_filter": url_rules.ORACLE,
+    "op9_repetition_quality": repetition.ORACLE,
 }
