@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import license_rules, repetition, url_rules, warc_store
+from martlet.llm import license_rules, ngram_join, repetition, url_rules, warc_store
 from martlet.session import scratch_dir
 
 
@@ -28,6 +28,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), url_rules.base_rules(spark))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge_documents(_table(spark, sf_dir, "documents")).drop("longest_repeat")
 
@@ -36,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": op2_warc_archive,
     "op5_license_scan": op5_license_scan,
     "op6_url_filter": op6_url_filter,
+    "op8_ngram_join": op8_ngram_join,
     "op9_repetition_quality": op9_repetition_quality,
 }
 
