@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import license_rules, ngram_join, repetition, url_rules, warc_store
+from martlet.llm import license_rules, ngram_join, repetition, url_rules, warc_store, window_dedup
 from martlet.session import scratch_dir
 
 
@@ -36,12 +36,17 @@ def op9_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge_documents(_table(spark, sf_dir, "documents")).drop("longest_repeat")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": op2_warc_archive,
     "op5_license_scan": op5_license_scan,
     "op6_url_filter": op6_url_filter,
     "op8_ngram_join": op8_ngram_join,
     "op9_repetition_quality": op9_repetition_quality,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
