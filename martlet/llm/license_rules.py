@@ -158,7 +158,8 @@ def scan(docs: DataFrame) -> DataFrame:
         "doc_id",
         words.alias("n_words"),
         F.when(base_gate, word_text(F.col("lower"))).alias("_norm"),
-        F.when(gated, F.sha2("lower", 256)).alias("_key"),
+        # other texts get keys that meet nothing, so that they don't all go to one task of the join below
+        F.when(gated, F.sha2("lower", 256)).otherwise(F.xxhash64("lower", "doc_id").cast("string")).alias("_key"),
     ).withColumn("n_base", F.coalesce(F.regexp_count("_norm", F.lit(" " + any_phrase)), F.lit(0)).cast("long"))
     found = F.col("n_base") > 0
     row = row.select(
