@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import license_rules, ngram_join, repetition, url_rules, warc_store, window_dedup
+from martlet.llm import license_rules, ngram_join, repetition, simhash, url_rules, warc_store, window_dedup
 from martlet.session import scratch_dir
 
 
@@ -28,6 +28,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), url_rules.base_rules(spark))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.compare_edits(_table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": op2_warc_archive,
     "op5_license_scan": op5_license_scan,
     "op6_url_filter": op6_url_filter,
+    "op7_simhash": op7_simhash,
     "op8_ngram_join": op8_ngram_join,
     "op9_repetition_quality": op9_repetition_quality,
     "op10_substring_dedup": op10_substring_dedup,
