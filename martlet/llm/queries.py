@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import license_rules, ngram_join, repetition, simhash, url_rules, warc_store, window_dedup
+from martlet.llm import license_rules, line_templates, ngram_join, repetition, simhash, url_rules, warc_store, window_dedup
 from martlet.session import scratch_dir
 
 
@@ -20,6 +20,10 @@ def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_store.parse_records(warc_store.read_archive(spark, path))
 
 
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.summary(_table(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": op2_warc_archive,
+    "op3_line_templates": op3_line_templates,
     "op5_license_scan": op5_license_scan,
     "op6_url_filter": op6_url_filter,
     "op7_simhash": op7_simhash,
