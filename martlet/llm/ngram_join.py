@@ -4,7 +4,7 @@ A document is the set of its distinct 5-word shingles, lower-cased A-Z; two docu
 the Jaccard similarity of their sets is at least 0.75. Equal sets form a class; a class links to itself
 and joins as one.
 
-1. Every class sends its shingles to buckets of the hash space, packed as bytes (6 a shingle, 20 a
+1. Every class sends its shingles to buckets of the hash space, packed as bytes (6 a shingle, 18 a
    class and bucket), and the bucket counts in how many classes each occurs. A shingle of one class can't be in
    an intersection, so only the others go back to their class.
 2. A class orders its shingles by that count, rarest first, ties by hash. Two linked sets share
@@ -36,7 +36,8 @@ from martlet.llm.shared import stored
 
 SHINGLE = 5
 SIMILAR = (3, 4)  # 0.75 as a fraction
-BUCKET_SHINGLES = 4_000_000  # about 150 MB in the task that counts them
+KEY_BYTES = 10  # of a class's key
+BUCKET_SHINGLES = 3_000_000  # about 150 MB in the task that counts them
 FLUSH_SHINGLES = 2_000_000
 STAR_ROUNDS = 2
 _LOW = np.uint64((1 << 48) - 1)
@@ -75,19 +76,19 @@ def shingle_sets(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
 
 
 def set_keys(borders: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """128 bits for each set, as an (n, 2) array: sums of the mixed hashes, so the order does not matter."""
+    """80 bits for each set, as an (n, KEY_BYTES) array of bytes: sums of the mixed hashes, so the order does not matter."""
     keys = []
     for salt in (0x243F6A8885A308D3, 0x13198A2E03707344):
         sums = np.zeros(len(hashes) + 1, np.uint64)
         np.cumsum(mix(hashes ^ np.uint64(salt)), out=sums[1:])
         keys.append(mix(sums[borders[1:]] - sums[borders[:-1]]))
-    return np.stack(keys, axis=1)
+    return np.ascontiguousarray(np.stack(keys, axis=1).view(np.uint8)[:, :KEY_BYTES])
 
 
-def _binary16(keys: np.ndarray) -> pa.Array:
+def _binary_keys(keys: np.ndarray) -> pa.Array:
     n = len(keys)
-    offsets = np.arange(n + 1, dtype=np.int32) * 16
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(keys).tobytes())])
+    offsets = np.arange(n + 1, dtype=np.int32) * KEY_BYTES
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(keys.tobytes())])
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
             for piece in text_pieces(batch.column(1), lower=True):
                 borders, hashes = shingle_sets(piece)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(piece.first, piece.n), pa.array(np.diff(borders)), _binary16(set_keys(borders, hashes))],
+                    [batch.column(0).slice(piece.first, piece.n), pa.array(np.diff(borders)), _binary_keys(set_keys(borders, hashes))],
                     names=["doc_id", "n_shingles", "set_key"],
                 )
 
@@ -159,37 +160,41 @@ def _send_shingles(docs: DataFrame, buckets: int) -> DataFrame:
 
 def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     """The shingles of one bucket that occur in two or more classes, by class with their counts."""
-    six = np.frombuffer(b"".join(pdf["low"]), np.uint8).reshape(-1, 6)
-    low = np.zeros((len(six), 8), np.uint8)
-    low[:, :6] = six
+    low = np.zeros((sum(map(len, pdf["low"])) // 6, 8), np.uint8)
+    low[:, :6] = np.frombuffer(b"".join(pdf["low"]), np.uint8).reshape(-1, 6)
     low = low.view(np.uint64).ravel()
     runs = np.frombuffer(b"".join(pdf["counts"]), np.int32)
-    keys = np.frombuffer(b"".join(pdf["set_keys"]), np.uint64).reshape(-1, 2)
+    keys = np.frombuffer(b"".join(pdf["set_keys"]), np.uint8).reshape(-1, KEY_BYTES)
     sizes = np.frombuffer(b"".join(pdf["sizes"]), np.int32)
-    _, first, code = np.unique(keys[:, 0] ^ mix(keys[:, 1]), return_index=True, return_inverse=True)
-    owner = np.repeat(code, runs)
-    order = np.lexsort((owner, low))
-    low, owner = low[order], owner[order]
-    # copies of a class come from several tasks
-    new = np.ones(len(low), bool)
-    new[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
-    low, owner = low[new], owner[new]
-    group = np.flatnonzero(np.append(True, low[1:] != low[:-1])) if len(low) else np.zeros(0, int)
-    count = np.repeat(np.diff(np.append(group, len(low))), np.diff(np.append(group, len(low))))
+    # a class whose copies lie in several tasks was sent by each of them: its first run stays
+    wide = np.zeros((len(keys), 16), np.uint8)
+    wide[:, :KEY_BYTES] = keys
+    wide = wide.view(np.uint64)
+    _, first = np.unique(wide[:, 0] ^ mix(wide[:, 1]), return_index=True)
+    one = np.zeros(len(runs), bool)
+    one[first] = True
+    low = low[np.repeat(one, runs)]
+    runs, keys, sizes = runs[one], keys[one], sizes[one]
+    order = np.argsort(low)
+    new = np.flatnonzero(np.append(True, np.diff(low[order]) != 0)) if len(low) else np.zeros(0, int)
+    times = np.diff(np.append(new, len(low))).astype(np.int32)
+    count = np.empty(len(low), np.int32)
+    count[order] = np.repeat(times, times)
+    del order
     shared = count > 1
-    low, owner, count = low[shared], owner[shared], count[shared].astype(np.int32)
-    order = np.argsort(owner, kind="stable")
-    low, owner, count = mix(low ^ mix(np.uint64([pdf["bucket"].iloc[0]]))), owner[order], count[order]
-    low = low[order]
-    borders = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(low) else np.zeros(0, int)
-    ends = np.append(borders[1:], len(low))
-    who = first[owner[borders]] if len(low) else []
+    ends = np.cumsum(runs)
+    held = np.zeros(len(low) + 1, np.int64)
+    np.cumsum(shared, out=held[1:])
+    stops = held[ends]
+    starts = held[ends - runs]
+    low, count = mix(low[shared] ^ mix(np.uint64([pdf["bucket"].iloc[0]]))), count[shared]
+    some = np.flatnonzero(stops > starts)
     return pd.DataFrame(
         {
-            "set_key": [keys[w].tobytes() for w in who],
-            "n": [int(sizes[w]) for w in who],
-            "shingles": [low[a:b].tobytes() for a, b in zip(borders, ends)],
-            "counts": [count[a:b].tobytes() for a, b in zip(borders, ends)],
+            "set_key": [keys[i].tobytes() for i in some],
+            "n": sizes[some],
+            "shingles": [low[starts[i] : stops[i]].tobytes() for i in some],
+            "counts": [count[starts[i] : stops[i]].tobytes() for i in some],
         }
     )
 
