@@ -7,11 +7,14 @@ places, and neighbouring windows mostly share theirs, so there are some eight ti
 1. Each partition adds its anchors to a count-min sketch of two rows; the sketches are cut into chunks of
    the hash space and merged chunk by chunk. Counts stop at 2. A sketch never undercounts, and an anchor occurs at least
    as often as each of its windows, so a window whose anchor is estimated at 1 is unique.
-2. A second pass looks its anchors up, chunk by chunk; those estimated repeated go back to their
-   documents, which send only the windows of these anchors to exact groups, by a 128-bit hash. The first of each group is a minimum that combines
-   before the shuffle, and the others find it by a join, so no task holds a group.
-
-The number of cells follows the size of the texts, so the share of windows sent for nothing stays the same at any size.
+2. A second pass looks its anchors up, chunk by chunk; those estimated repeated go back to their documents.
+   Exact copies of a document need no windows: all of theirs start earlier in the first copy.
+3. Exact groups, by 128-bit hashes: first of whole contexts, the 15 words before an anchor and the
+   20 from it on, which hold all of its windows. All windows of a context but the first of its group are repeats. If an anchor has several
+   contexts, the windows of the first of each are then grouped themselves. The first of a group is a minimum
+   that combines before the shuffle, and the others find it by a join, so no task holds a group.
+
+The number of cells follows the size of the texts, so the share of anchors sent for nothing stays the same at any size.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.bytes_text import Piece, mix, text_pieces
+from martlet.llm.bytes_text import _BASE, Piece, mix, text_pieces
 from martlet.llm.shared import stored
 
 WINDOW = 20
@@ -168,27 +171,52 @@ def _look_up(anchors: pd.DataFrame, sketch: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["k", "places"])
 
 
-def _suspect_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, doc_id, k, start) of the windows whose anchor is in the document's list."""
+def _chosen(piece: Piece, lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, anchors) of the piece whose anchor is in its document's list of places."""
+    at, anchors, _ = anchored_windows(piece)
+    wanted = np.zeros(len(piece.starts), bool)
+    for t in range(piece.n):
+        places = piece.words_at[t] + np.asarray(lists[piece.first + t], np.int64)
+        wanted[places[places < piece.words_at[t + 1]]] = True
+    chosen = wanted[anchors]
+    return at[chosen], anchors[chosen]
+
+
+def _hash_pair(piece: Piece, at: np.ndarray, size: int | np.ndarray) -> list[pa.Array]:
+    return [pa.array(piece.window_hashes(at, size, base).view(np.int64)) for base in (_BASE, _SECOND_BASE)]
+
+
+def _suspect_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, h1, h2, doc_id, k, place, low, high): a suspected anchor, its context, and the windows that it stands for."""
+    for batch in batches:
+        lists = [np.frombuffer(b"".join(x), np.int32) for x in batch.column("places").to_pylist()]
+        for piece in text_pieces(batch.column("text")):
+            at, anchors = _chosen(piece, lists)
+            # the anchors of one text ascend with its windows
+            new = np.flatnonzero(np.append(True, np.diff(anchors) != 0)) if len(anchors) else np.zeros(0, int)
+            low, high, anchor = at[new], at[np.append(new[1:], len(at)) - 1] if len(at) else at, anchors[new]
+            text = np.searchsorted(piece.words_at, anchor, "right") - 1
+            begin = np.maximum(anchor - (SPAN - 1), piece.words_at[text])
+            end = np.minimum(anchor + WINDOW, piece.words_at[text + 1])
+            rows = pa.array(text + piece.first)
+            base = piece.words_at[text]
+            columns = [pa.array(piece.window_hashes(anchor, ANCHOR).view(np.int64)), *_hash_pair(piece, begin, end - begin)]
+            columns += [batch.column("doc_id").take(rows), batch.column("k").take(rows)]
+            columns += [pa.array((x - base).astype(np.int32)) for x in (anchor, low, high)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "h1", "h2", "doc_id", "k", "place", "low", "high"])
+
+
+def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h1, h2, doc_id, k, place) of the windows of the listed anchors; the place is the window's first word."""
     for batch in batches:
         lists = batch.column("places").to_pylist()
         for piece in text_pieces(batch.column("text")):
-            at, anchors, _ = anchored_windows(piece)
-            wanted = np.zeros(len(piece.starts), bool)
-            for t in range(piece.n):
-                places = piece.words_at[t] + np.frombuffer(b"".join(lists[piece.first + t]), np.int32)
-                wanted[places[places < piece.words_at[t + 1]]] = True
-            at = at[wanted[anchors]]
+            at, _ = _chosen(piece, lists)
             text = np.searchsorted(piece.words_at, at, "right") - 1
             rows = pa.array(text + piece.first)
-            columns = [
-                pa.array(piece.window_hashes(at, WINDOW).view(np.int64)),
-                pa.array(piece.window_hashes(at, WINDOW, _SECOND_BASE).view(np.int64)),
-                batch.column("doc_id").take(rows),
-                batch.column("k").take(rows),
-                pa.array((at - piece.words_at[text]).astype(np.int32)),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "doc_id", "k", "start"])
+            columns = [*_hash_pair(piece, at, WINDOW), batch.column("doc_id").take(rows), batch.column("k").take(rows)]
+            columns.append(pa.array((at - piece.words_at[text]).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "doc_id", "k", "place"])
 
 
 def _kept_digests(piece: Piece, removed: np.ndarray) -> list[str]:
@@ -210,14 +238,16 @@ def _kept_digests(piece: Piece, removed: np.ndarray) -> list[str]:
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lists = batch.column("starts").to_pylist()
+        lists = batch.column("spans").to_pylist()
         for piece in text_pieces(batch.column("text")):
             change = np.zeros(len(piece.starts) + 1, np.int32)
             for t in range(piece.n):
                 if lists[piece.first + t]:
-                    at = piece.words_at[t] + np.array(lists[piece.first + t])
-                    np.add.at(change, at, 1)
-                    np.add.at(change, at + WINDOW, -1)
+                    low, high = np.array([(x["low"], x["high"]) for x in lists[piece.first + t]], np.int64).T
+                    high = np.minimum(high + WINDOW, piece.words_at[t + 1] - piece.words_at[t])
+                    real = high - low >= WINDOW
+                    np.add.at(change, piece.words_at[t] + low[real], 1)
+                    np.add.at(change, piece.words_at[t] + high[real], -1)
             removed = np.cumsum(change)[:-1] > 0
             columns = [
                 batch.column("doc_id").slice(piece.first, piece.n),
@@ -228,10 +258,24 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
+def _place(last: str = "place"):
+    """What orders the starts of windows: the document, null after all others, its key, and the word."""
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k", last)
+
+
+def later_copies(docs: DataFrame) -> DataFrame:
+    """(k, doc_id) of the documents whose whole text an earlier document has."""
+    named = docs.select("k", "doc_id", F.sha2("text", 256).alias("digest")).filter("digest IS NOT NULL")
+    named = named.withColumn("place", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k"))
+    firsts = named.groupBy(F.col("digest").alias("d")).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return named.join(firsts, (F.col("digest") == F.col("d")) & (F.col("first") < F.col("place"))).select("k", "doc_id").distinct()
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, k, start) of every window that also starts earlier; ``docs`` has doc_id, text and the key k.
+    """(doc_id, k, low, high): runs of windows, by their first words, that also start earlier.
 
-    Earlier means a smaller doc_id (null after all others), then a smaller key, then an earlier start.
+    ``docs`` has doc_id, text and the key k. Earlier means a smaller doc_id (null after all others), then a
+    smaller key, then an earlier start.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-int(size) // (BYTES_PER_CELL * ROW_CELLS)))
@@ -239,21 +283,34 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     sketch = stored(merged, "sketch")
     looked_up = _partition_anchors(docs, chunks).groupBy("chunk").cogroup(sketch.groupBy("chunk"))
     found = looked_up.applyInPandas(_look_up, "k long, places binary")
-    suspects = stored(found, "suspects").groupBy(F.col("k").alias("key")).agg(F.collect_list("places").alias("places"))
+    copies = stored(later_copies(docs), "copies")
+    suspects = stored(found.join(copies.select("k"), "k", "left_anti"), "suspects")
+    lists = suspects.groupBy(F.col("k").alias("key")).agg(F.collect_list("places").alias("places"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    windows = (
-        docs.join(suspects, F.col("k") == F.col("key"))
+    # the joins with the texts have one key, so that they share one shuffle of the texts
+    contexts = (
+        docs.join(lists, F.col("k") == F.col("key"))
         .select("doc_id", "k", "text", "places")
-        .mapInArrow(_suspect_windows, f"h1 long, h2 long, doc_id {kind}, k long, start int")
+        .mapInArrow(_suspect_contexts, f"a long, h1 long, h2 long, doc_id {kind}, k long, place int, low int, high int")
     )
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k", "start")
-    firsts = (
-        windows.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2"))
-        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
-        .filter("times > 1")
+    firsts = contexts.groupBy("a", "h1", "h2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times"))
+    again = firsts.filter("times > 1").select(F.col("a").alias("g0"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), "first")
+    same = (F.col("a") == F.col("g0")) & (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("first") < _place())
+    by_context = contexts.join(again, same).select("doc_id", "k", "low", "high")
+
+    several = firsts.groupBy(F.col("a").alias("b")).agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1")
+    open_ = firsts.join(several, F.col("a") == F.col("b")).select(F.col("first.k").alias("key"), F.col("first.place").alias("place"))
+    lists = open_.groupBy("key").agg(F.collect_list("place").alias("places"))
+    windows = (
+        docs.join(lists, F.col("k") == F.col("key"))
+        .select("doc_id", "k", "text", "places")
+        .mapInArrow(_windows_of, f"h1 long, h2 long, doc_id {kind}, k long, place int")
     )
-    same = (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
-    return windows.join(firsts, same & (F.col("first") < place)).select("doc_id", "k", "start")
+    firsts = windows.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2")).agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times"))
+    same = (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("first") < _place())
+    by_window = windows.join(firsts.filter("times > 1"), same).select("doc_id", "k", F.col("place").alias("low"), F.col("place").alias("high"))
+    whole = copies.select("doc_id", "k", F.lit(0).alias("low"), F.lit((1 << 31) - 1).alias("high"))
+    return by_context.unionByName(by_window).unionByName(whole)
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
@@ -264,12 +321,11 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     Rows that share only the doc_id are ordered by a hash of id and text. Other columns are ignored; an empty table gives no rows.
     """
     docs = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"))
-    again = repeated_windows(docs).groupBy(F.col("k").alias("key")).agg(F.collect_set(F.struct("doc_id", "start")).alias("spans"))
+    spans = repeated_windows(docs).groupBy(F.col("k").alias("key")).agg(F.collect_list(F.struct("doc_id", "low", "high")).alias("all"))
     kind = documents.schema["doc_id"].dataType.simpleString()
-    own = F.filter("spans", lambda s: s["doc_id"].eqNullSafe(F.col("doc_id")))
-    # joined by the key alone, as above, so that both joins use one shuffle of the texts
+    own = F.filter("all", lambda s: s["doc_id"].eqNullSafe(F.col("doc_id")))
     return (
-        docs.join(again, F.col("k") == F.col("key"), "left")
-        .select("doc_id", "text", F.transform(own, lambda s: s["start"]).alias("starts"))
+        docs.join(spans, F.col("k") == F.col("key"), "left")
+        .select("doc_id", "text", own.alias("spans"))
         .mapInArrow(_remove, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
     )
