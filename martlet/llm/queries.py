@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import license_rules, line_templates, ngram_join, repetition, simhash, url_rules, warc_store, window_dedup
+from martlet.llm import license_rules, line_templates, mixing, ngram_join, repetition, simhash, url_rules, warc_store, window_dedup
 from martlet.session import scratch_dir
 
 
@@ -24,6 +24,10 @@ def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.summary(_table(spark, sf_dir, "documents"))
 
 
+def op4_mixture_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_plan(_table(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": op2_warc_archive,
     "op3_line_templates": op3_line_templates,
+    "op4_mixture_budget": op4_mixture_budget,
     "op5_license_scan": op5_license_scan,
     "op6_url_filter": op6_url_filter,
     "op7_simhash": op7_simhash,
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_warc_archive": warc_store.ORACLE,
+    "op4_mixture_budget": mixing.ORACLE,
     "op6_url_filter": url_rules.ORACLE,
     "op9_repetition_quality": repetition.ORACLE,
 }
