@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import license_rules, line_templates, mixing, ngram_join, repetition, simhash, url_rules, warc_store, window_dedup
+from martlet.llm import license_rules, line_templates, mixing, ngram_join, repetition, sentencepiece_sampling, simhash, url_rules, warc_store, window_dedup
 from martlet.session import scratch_dir
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece_gumbel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_sampling.sample_digests(_table(spark, sf_dir, "documents"))
+
+
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     warc_store.write_archive(_table(spark, sf_dir, "pages"), path)
@@ -53,6 +57,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece_gumbel": op1_sentencepiece_gumbel,
     "op2_warc_archive": op2_warc_archive,
     "op3_line_templates": op3_line_templates,
     "op4_mixture_budget": op4_mixture_budget,
