@@ -1,8 +1,57 @@
-"""Corpus pipeline (stages are added as their operators are written)."""
+"""Corpus pipeline: quality rules, line dedup, near-duplicate removal, source mixture, segmentation samples.
 
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
+again as the next stage's documents. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from martlet.llm import line_templates, mixing, ngram_join, repetition, sentencepiece_sampling
+from martlet.llm.shared import stored
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or repeat themselves too much go."""
+    return repetition.keep_documents(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates go; every document stays."""
+    return line_templates.drop_templates(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones stays."""
+    return ngram_join.keep_one(docs)
+
+
+def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the domain, language and source budgets take them, the last of a leaf cut."""
+    return mixing.mix_documents(docs)
+
+
+def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of each document, as ids."""
+    return sentencepiece_sampling.encode_samples(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicates),
+    ("source mixture", source_mixture),
+    ("SentencePiece samples", segmentations),
+]
+
+# the samples depend on hashes and a search that SQL does not express
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
