@@ -92,19 +92,20 @@ def _binary_keys(keys: np.ndarray) -> pa.Array:
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key) of every document; without words the size is 0."""
+    """(doc_id, k, n_shingles, set_key) of every document; without words the size is 0; k is a hash of doc_id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in text_pieces(batch.column(1), lower=True):
+            for piece in text_pieces(batch.column(2), lower=True):
                 borders, hashes = shingle_sets(piece)
+                ids = [batch.column(i).slice(piece.first, piece.n) for i in range(2)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(piece.first, piece.n), pa.array(np.diff(borders)), _binary_keys(set_keys(borders, hashes))],
-                    names=["doc_id", "n_shingles", "set_key"],
+                    [*ids, pa.array(np.diff(borders)), _binary_keys(set_keys(borders, hashes))], names=["doc_id", "k", "n_shingles", "set_key"]
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, set_key binary")
+    named = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "text")
+    return named.mapInArrow(run, f"doc_id {kind}, k long, n_shingles long, set_key binary")
 
 
 def _packed(buckets: int, bucket: np.ndarray, low: np.ndarray, owner: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
@@ -326,6 +327,17 @@ def class_links(docs: DataFrame, total_shingles: int) -> DataFrame:
     return found
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """(doc_id, k, n_shingles, c) with the component of each document, null for empty sets."""
+    sets = stored(document_sets(docs), "sets")
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    found = class_links(docs, int(total))
+    full = F.col("n_shingles") > 0
+    return sets.join(found, (F.col("set_key") == F.col("node")) & full, "left").select(
+        "doc_id", "k", "n_shingles", F.when(full, F.coalesce("component", "set_key")).alias("c")
+    )
+
+
 def link_documents(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id.
 
@@ -334,13 +346,26 @@ def link_documents(docs: DataFrame) -> DataFrame:
     are linked with nothing. Repeated rows have equal sets, hence one component. Other columns are ignored; an empty
     table gives no rows.
     """
-    sets = stored(document_sets(docs), "sets")
-    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    found = class_links(docs, int(total))
-    placed = sets.join(found, (F.col("set_key") == F.col("node")) & (F.col("n_shingles") > 0), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "set_key").alias("c")
-    )
-    least = placed.filter("n_shingles > 0").groupBy(F.col("c").alias("k")).agg(F.min("doc_id").alias("least"))
-    return placed.join(least, (F.col("c") == F.col("k")) & (F.col("n_shingles") > 0), "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")
+    placed = _placed(docs)
+    least = placed.filter("c IS NOT NULL").groupBy(F.col("c").alias("least_c")).agg(F.min("doc_id").alias("least"))
+    return placed.join(least, F.col("c") == F.col("least_c"), "left").select(
+        "doc_id", "n_shingles", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, of one document of each component: that with the smallest doc_id.
+
+    Null ids come last; of rows that share the smallest doc_id the one with the smallest hash of id and text stays.
+    Rows equal in doc_id and text are one document and become one row. Documents without words all stay.
+    """
+    placed = stored(_placed(docs), "placed")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")
+    first = placed.filter("c IS NOT NULL").groupBy(F.col("c").alias("first_c")).agg(F.min(order).alias("first"))
+    gone = placed.join(first, (F.col("c") == F.col("first_c")) & (F.col("first") < order)).select(F.col("k").alias("gone")).distinct()
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("k", F.xxhash64("row.doc_id", "row.text"))
+    left = row.join(gone, F.col("k") == F.col("gone"), "left_anti")
+    # rows without words are told apart, so that they all stay
+    empty = F.coalesce(~F.col("row.text").rlike(r"[^ \t-\r]"), F.lit(True))
+    left = left.withColumn("n", F.when(empty, F.monotonically_increasing_id()).otherwise(0)).dropDuplicates(["k", "n"])
+    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
