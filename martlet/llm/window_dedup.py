@@ -9,9 +9,11 @@ places, and neighbouring windows mostly share theirs, so there are some eight ti
    as often as each of its windows, so a window whose anchor is estimated at 1 is unique.
 2. A second pass looks its anchors up, chunk by chunk; those estimated repeated go back to their documents.
    Exact copies of a document need no windows: all of theirs start earlier in the first copy.
-3. Exact groups, by 128-bit hashes: first of whole contexts, the 15 words before an anchor and the
-   20 from it on, which hold all of its windows. All windows of a context but the first of its group are repeats. If an anchor has several
-   contexts, the windows of the first of each are then grouped themselves. The first of a group is a minimum
+3. Exact groups, by 96-bit hashes: first of whole contexts, the 15 words before an anchor and the
+   20 from it on, which hold all of its windows. All windows of a context but the first of its group are repeats. Two
+   different contexts share a window only if they share the anchor with the 8 words before it (windows that start 8
+   to 15 words before the anchor) or the 8 after it (the others); only such windows of the first of
+   each context are then grouped themselves. The first of a group is a minimum
    that combines before the shuffle, and the others find it by a join, so no task holds a group.
 
 The number of cells follows the size of the texts, so the share of anchors sent for nothing stays the same at any size.
@@ -37,6 +39,7 @@ SPAN = WINDOW - ANCHOR + 1  # a power of two
 ROW_CELLS = 1 << 19  # of each of the two rows of a chunk
 BYTES_PER_CELL = 6  # of text; about 4 cells in each row for an anchor
 FLUSH_ANCHORS = 1_000_000
+SIDE = SPAN // 2
 _SECOND_BASE = 0xC2B2AE3D27D4EB4F
 
 
@@ -55,6 +58,16 @@ def anchored_windows(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, best[at], hashes
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The values' first bytes, then their second ones, and so on: high bytes are mostly 0 and compress well."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _from_planes(data: bytes, dtype: type) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
 def _cells(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The cell of each row within the chunk."""
     first = hashes & np.uint64(ROW_CELLS - 1)
@@ -127,14 +140,14 @@ def _partition_anchors(docs: DataFrame, chunks: int) -> DataFrame:
         order = np.argsort(chunk, kind="stable")
         chunk, keys, places = chunk[order], keys[order], places[order].astype(np.int32)
         first, second = _cells(hashes[order])
-        cells = np.stack([first, second], axis=1).astype(np.uint32)
+        cells = (first + second * (2 * ROW_CELLS)).astype(np.uint64)
         borders = np.searchsorted(chunk, np.arange(chunks + 1))
         rows = []
         for c in np.flatnonzero(np.diff(borders)):
             part = slice(borders[c], borders[c + 1])
             run = np.flatnonzero(np.append(True, keys[part][1:] != keys[part][:-1]))
             count = np.diff(np.append(run, part.stop - part.start)).astype(np.int32)
-            rows.append((int(c), cells[part].tobytes(), places[part].tobytes(), keys[part][run].tobytes(), count.tobytes()))
+            rows.append((int(c), _planes(cells[part]), _planes(places[part]), keys[part][run].tobytes(), count.tobytes()))
         names = ["chunk", "cells", "places", "keys", "counts"]
         kinds = [pa.int32(), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
@@ -159,11 +172,11 @@ def _look_up(anchors: pd.DataFrame, sketch: pd.DataFrame) -> pd.DataFrame:
     if len(anchors) and len(sketch):
         repeated = np.unpackbits(np.frombuffer(sketch["repeated"].iloc[0], np.uint8)).astype(bool)
         for cells, places, keys, counts in zip(anchors["cells"], anchors["places"], anchors["keys"], anchors["counts"]):
-            cells = np.frombuffer(cells, np.uint32).reshape(-1, 2)
-            again = repeated[cells[:, 0]] & repeated[cells[:, 1]]
+            cells = _from_planes(cells, np.uint64).astype(np.int64)
+            again = repeated[cells % (2 * ROW_CELLS)] & repeated[cells // (2 * ROW_CELLS)]
             counts = np.frombuffer(counts, np.int32)
             owner = np.repeat(np.arange(len(counts)), counts)[again]
-            places = np.frombuffer(places, np.int32)[again]
+            places = _from_planes(places, np.int32)[again]
             keys = np.frombuffer(keys, np.int64)
             borders = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else []
             for a, b in zip(borders, [*borders[1:], len(owner)]):
@@ -183,11 +196,15 @@ def _chosen(piece: Piece, lists: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hash_pair(piece: Piece, at: np.ndarray, size: int | np.ndarray) -> list[pa.Array]:
-    return [pa.array(piece.window_hashes(at, size, base).view(np.int64)) for base in (_BASE, _SECOND_BASE)]
+    second = piece.window_hashes(at, size, _SECOND_BASE) >> np.uint64(32)
+    return [pa.array(piece.window_hashes(at, size).view(np.int64)), pa.array(second.astype(np.uint32).view(np.int32))]
 
 
 def _suspect_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, h1, h2, doc_id, k, place, low, high): a suspected anchor, its context, and the windows that it stands for."""
+    """(h1, h2, doc_id, k, place, low, high, left, right): the context of a suspected anchor and the windows that it stands for.
+
+    left and right hash the anchor with the 8 words on that side; null if no window reaches so far.
+    """
     for batch in batches:
         lists = [np.frombuffer(b"".join(x), np.int32) for x in batch.column("places").to_pylist()]
         for piece in text_pieces(batch.column("text")):
@@ -198,20 +215,28 @@ def _suspect_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             text = np.searchsorted(piece.words_at, anchor, "right") - 1
             begin = np.maximum(anchor - (SPAN - 1), piece.words_at[text])
             end = np.minimum(anchor + WINDOW, piece.words_at[text + 1])
+            no_left, no_right = anchor - low < SIDE, anchor - high >= SIDE
+            left = piece.window_hashes(np.where(no_left, low, anchor - SIDE), ANCHOR + SIDE)
+            right = piece.window_hashes(np.where(no_right, low, anchor), ANCHOR + SIDE)
             rows = pa.array(text + piece.first)
             base = piece.words_at[text]
-            columns = [pa.array(piece.window_hashes(anchor, ANCHOR).view(np.int64)), *_hash_pair(piece, begin, end - begin)]
-            columns += [batch.column("doc_id").take(rows), batch.column("k").take(rows)]
+            columns = [*_hash_pair(piece, begin, end - begin), batch.column("doc_id").take(rows), batch.column("k").take(rows)]
             columns += [pa.array((x - base).astype(np.int32)) for x in (anchor, low, high)]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "h1", "h2", "doc_id", "k", "place", "low", "high"])
+            columns += [pa.array(left.view(np.int64), mask=no_left), pa.array(right.view(np.int64), mask=no_right)]
+            yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "doc_id", "k", "place", "low", "high", "left", "right"])
 
 
 def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, doc_id, k, place) of the windows of the listed anchors; the place is the window's first word."""
+    """(h1, h2, doc_id, k, place) of the windows on the listed sides of the listed anchors; the place is the window's first word."""
     for batch in batches:
         lists = batch.column("places").to_pylist()
+        sides = [[[x["place"] for x in y if x["left"] == side] for y in lists] for side in (True, False)]
         for piece in text_pieces(batch.column("text")):
-            at, _ = _chosen(piece, lists)
+            found = []
+            for left, chosen in zip((True, False), sides):
+                at, anchors = _chosen(piece, chosen)
+                found.append(at[(anchors - at >= SIDE) == left])
+            at = np.sort(np.concatenate(found))
             text = np.searchsorted(piece.words_at, at, "right") - 1
             rows = pa.array(text + piece.first)
             columns = [*_hash_pair(piece, at, WINDOW), batch.column("doc_id").take(rows), batch.column("k").take(rows)]
@@ -291,20 +316,28 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     contexts = (
         docs.join(lists, F.col("k") == F.col("key"))
         .select("doc_id", "k", "text", "places")
-        .mapInArrow(_suspect_contexts, f"a long, h1 long, h2 long, doc_id {kind}, k long, place int, low int, high int")
+        .mapInArrow(_suspect_contexts, f"h1 long, h2 int, doc_id {kind}, k long, place int, low int, high int, left long, right long")
     )
-    firsts = contexts.groupBy("a", "h1", "h2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times"))
-    again = firsts.filter("times > 1").select(F.col("a").alias("g0"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), "first")
-    same = (F.col("a") == F.col("g0")) & (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("first") < _place())
+    firsts = contexts.groupBy("h1", "h2").agg(
+        F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times"), F.first("left").alias("left"), F.first("right").alias("right")
+    )
+    again = firsts.filter("times > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "first")
+    same = (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("first") < _place())
     by_context = contexts.join(again, same).select("doc_id", "k", "low", "high")
 
-    several = firsts.groupBy(F.col("a").alias("b")).agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1")
-    open_ = firsts.join(several, F.col("a") == F.col("b")).select(F.col("first.k").alias("key"), F.col("first.place").alias("place"))
-    lists = open_.groupBy("key").agg(F.collect_list("place").alias("places"))
+    sides = firsts.select(
+        F.col("first.k").alias("key"),
+        F.col("first.place").alias("place"),
+        F.explode(F.array(F.struct(F.col("left").alias("h"), F.lit(True).alias("left")), F.struct(F.col("right").alias("h"), F.lit(False).alias("left")))).alias("side"),
+    ).filter("side.h IS NOT NULL")
+    sides = sides.select("key", "place", "side.h", "side.left")
+    several = sides.groupBy(F.col("h").alias("b"), F.col("left").alias("b_left")).agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1")
+    open_ = sides.join(several, (F.col("h") == F.col("b")) & (F.col("left") == F.col("b_left")))
+    lists = open_.groupBy("key").agg(F.collect_list(F.struct("place", "left")).alias("places"))
     windows = (
         docs.join(lists, F.col("k") == F.col("key"))
         .select("doc_id", "k", "text", "places")
-        .mapInArrow(_windows_of, f"h1 long, h2 long, doc_id {kind}, k long, place int")
+        .mapInArrow(_windows_of, f"h1 long, h2 int, doc_id {kind}, k long, place int")
     )
     firsts = windows.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2")).agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times"))
     same = (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("first") < _place())
