@@ -285,10 +285,10 @@ def fct_marketing_daily(src: Sources) -> DataFrame:
 def fct_pipeline(src: Sources) -> DataFrame:
     """Per first-touch channel: orders, deals, opportunities, won orders and conversions.
 
-    Deals and opportunities are counted per order first. An order has one first touch and a deal
-    belongs to one order, so the counts add up to the distinct counts without expanding the rows
-    once per distinct column. ``total_conversions`` counts a delivered order once for each of its
-    deal-opportunity pairs, as the joined rows would.
+    Orders, touches, deals and opportunities are folded to the order first, with their distinct
+    ids and row counts, so a repeated row raises no distinct count and no row is expanded once per
+    distinct column. A deal and an opportunity belong to one order. ``total_conversions`` counts
+    the delivered rows of the plain join: the product of the row counts.
     """
     deals = (
         src.model(stg_hubspot_deals)
@@ -300,13 +300,17 @@ def fct_pipeline(src: Sources) -> DataFrame:
         .groupBy("order_id")
         .agg(F.count_distinct("opportunity_id").alias("opps"), F.count(F.lit(1)).alias("opp_rows"))
     )
-    orders = src.model(stg_orders).select(
-        "order_id", (F.col("order_status") == "delivered").alias("won")
+    won = F.col("order_status") == "delivered"
+    orders = src.model(stg_orders).groupBy("order_id").agg(count_if(won).alias("won_rows"))
+    touched = (
+        src.model(first_touches)
+        .filter(F.col("attribution_channel").isNotNull())
+        .groupBy("order_id", "attribution_channel")
+        .agg(F.count(F.lit(1)).alias("touch_rows"))
     )
-    touched = src.model(first_touches).select("order_id", "attribution_channel")
-    pairs = F.coalesce("deal_rows", F.lit(1)) * F.coalesce("opp_rows", F.lit(1))
+    pairs = F.col("touch_rows") * F.coalesce("deal_rows", F.lit(1)) * F.coalesce("opp_rows", F.lit(1))
     return (
-        orders.join(touched.filter(F.col("attribution_channel").isNotNull()), "order_id")
+        orders.join(touched, "order_id")
         .join(deals, "order_id", "left")
         .join(opportunities, "order_id", "left")
         .groupBy("attribution_channel")
@@ -314,8 +318,8 @@ def fct_pipeline(src: Sources) -> DataFrame:
             F.count(F.lit(1)).alias("total_touches"),
             zero_if_null(F.sum("deals")).alias("total_leads"),
             zero_if_null(F.sum("opps")).alias("total_opportunities"),
-            count_if(F.col("won")).alias("closed_won"),
-            F.sum(F.when(F.col("won"), pairs).otherwise(0)).alias("total_conversions"),
+            count_if(F.col("won_rows") > 0).alias("closed_won"),
+            F.sum(F.col("won_rows") * pairs).alias("total_conversions"),
         )
     )
 

@@ -1,98 +1,36 @@
-"""Positions within groups, safe for a group of any size."""
+"""Positions within groups of any size, in one lazy plan."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.session import ensure_checkpoint_dir
-
-# A group up to this many rows is sorted inside one task; a larger one is sorted by many.
-HOT_ROWS = 5_000_000
-
 
 def number_rows(
-    df: DataFrame,
-    key: str,
-    order_by: list[str],
-    position: str,
-    total: str | None = None,
-    hot_rows: int | None = HOT_ROWS,
+    df: DataFrame, key: str, order_by: list[str], position: str, total: str | None = None, slice_by: Column | None = None
 ) -> DataFrame:
     """Adds each row's 1-based position in its group, and the group's size if asked for.
 
-    A plain window sorts a whole group in one task. Groups above ``hot_rows`` take another way:
-    their rows are sorted across the cluster by (key, order), each partition counts what it
-    holds of a group, and a row's position is its place in the partition plus the counts of the
-    partitions before. Without any such group the plan is the plain window. ``hot_rows=None``
-    says that the groups are known to be small.
-    """
-    hot_keys = _hot_keys(df, key, hot_rows) if hot_rows else None
-    if hot_keys is None:
-        return _by_window(df, key, order_by, position, total)
-    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
-    cold = df.join(hot_keys, is_hot, "left_anti")
-    hot = df.join(hot_keys, is_hot, "left_semi")
-    return _by_window(cold, key, order_by, position, total).unionByName(
-        _by_range(hot, key, order_by, position, total)
-    )
-
-
-def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
-    """The keys with about ``hot_rows`` rows or more, None if there are none.
-
-    They are looked for in a sample of the key column in which such a key still has about a
-    thousand rows. The sample only decides which way a key's rows are sorted: each key goes one
-    way with all of its rows, so the positions are exact whatever it finds. The checkpoint keeps
-    the choice the same in both joins, and it holds at most one key per ``hot_rows`` rows.
+    A group is cut into slices by ``slice_by``, the first column of the order or something that
+    never falls along the order (line numbers by the hundred, say). Rows are numbered within their slice; what precedes a
+    slice is counted from one row per slice, folded before the shuffle. So a group of any size is sorted a
+    slice at a time, by as many tasks as it has slices, and nothing runs before an action.
     """
-    fraction = min(1.0, 1000 / hot_rows)
-    keys = df.select(F.col(key).alias("_hot"))
-    sampled = keys if fraction == 1.0 else keys.sample(fraction, seed=17)
-    frequent = (
-        sampled.groupBy("_hot").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0.9 * fraction * hot_rows)
-    )
-    if frequent.isEmpty():
-        return None
-    ensure_checkpoint_dir(df.sparkSession)
-    return frequent.select("_hot").checkpoint()
-
-
-def _by_window(df, key, order_by, position, total):
-    group = Window.partitionBy(key)
-    out = df.withColumn(position, F.row_number().over(group.orderBy(*order_by)))
-    if total:
-        out = out.withColumn(total, F.count(F.lit(1)).over(group).cast("int"))
-    return out
-
-
-def _by_range(df, key, order_by, position, total):
-    ensure_checkpoint_dir(df.sparkSession)
-    # The checkpoint fixes the sampled range bounds: the counts below and the rows above must
-    # see the same partitions, also when an executor is lost and a task runs again.
-    placed = (
-        df.repartitionByRange(key, *order_by)
-        .sortWithinPartitions(key, *order_by)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_row", F.monotonically_increasing_id())
-        .checkpoint()
-    )
-    # One row per group and partition: bounded by the number of partitions, whatever the group.
-    pieces = placed.groupBy(F.col(key).alias("_key"), F.col("_part").alias("_piece")).agg(
-        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    before = Window.partitionBy("_key").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    starts = pieces.select(
-        "_key",
-        "_piece",
-        "_first",
+    # a struct is never null, so a plain equality joins null keys too and rows keep their partitioning
+    sliced = df.withColumn("_at", F.struct(F.col(key).alias("key"), (F.col(order_by[0]) if slice_by is None else slice_by).alias("slice")))
+    counts = sliced.groupBy(F.col("_at").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy("_of.key")
+    before = group.orderBy("_of.slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        "_of",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy("_key")).cast("int").alias("_total"),
+        F.sum("_n").over(group).cast("int").alias("_total"),
     )
-    same_piece = (F.col("_part") == F.col("_piece")) & F.col(key).eqNullSafe(F.col("_key"))
-    out = placed.join(starts, same_piece).withColumn(
-        position, (F.col("_before") + F.col("_row") - F.col("_first") + 1).cast("int")
+    out = (
+        sliced.withColumn("_row", F.row_number().over(Window.partitionBy("_at").orderBy(*order_by)))
+        .join(starts, F.col("_at") == F.col("_of"))
+        .withColumn(position, (F.col("_before") + F.col("_row")).cast("int"))
     )
     if total:
         out = out.withColumn(total, F.col("_total"))
-    return out.drop("_part", "_row", "_key", "_piece", "_first", "_before", "_total")
+    return out.drop("_at", "_row", "_of", "_before", "_total")

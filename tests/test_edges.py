@@ -192,6 +192,12 @@ def test_conversions_repeat_with_deal_and_opportunity_rows(spark, tables):
         orders=orders, marketing_attribution=touches, hubspot_deals=deals, salesforce_opportunities=opportunities
     )
     assert rows(fct_pipeline(src)) == {("direct", 1, 2, 3, 1, 6)}
+    # repeated touches, deals, opportunities and orders raise no distinct count, only the joined rows
+    src = tables(
+        orders=orders.union(orders), marketing_attribution=touches.union(touches), hubspot_deals=deals.union(deals),
+        salesforce_opportunities=opportunities.union(opportunities),
+    )
+    assert rows(fct_pipeline(src)) == {("direct", 1, 2, 3, 1, 2 * 2 * 4 * 6)}
 
 
 def test_touchpoints_reach_back_thirteen_days(spark):
