@@ -47,6 +47,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The values' first bytes, then their second ones, and so on: high bytes are mostly 0 and compress well."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def from_planes(data: bytes, dtype: type) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
 def prefix_sums(values: np.ndarray, base: int = _BASE) -> np.ndarray:
     out = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values.astype(np.uint64) * _power(base, len(values))[: len(values)], out=out[1:])

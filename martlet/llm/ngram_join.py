@@ -4,7 +4,7 @@ A document is the set of its distinct 5-word shingles, lower-cased A-Z; two docu
 the Jaccard similarity of their sets is at least 0.75. Equal sets form a class; a class links to itself
 and joins as one.
 
-1. Every class sends its shingles to buckets of the hash space, packed as bytes (6 a shingle, 18 a
+1. Every class sends its shingles to buckets of the hash space, packed as bytes (6 a shingle, some 13 a
    class and bucket), and the bucket counts in how many classes each occurs. A shingle of one class can't be in
    an intersection, so only the others go back to their class.
 2. A class orders its shingles by that count, rarest first, ties by hash. Two linked sets share
@@ -13,8 +13,8 @@ and joins as one.
 3. Classes that meet in a prefix shingle are candidates if their sizes (length filter) and the
    place of the shingle (positional filter) still allow the overlap that 0.75 needs. The suffix filter then halves both sets
    at a shingle, twice, for a tighter bound, and the intersection decides. A pair is verified once.
-4. So that thousands of near copies are not compared pair by pair, each shingle's classes are first
-   compared with one of them (two rounds). Classes found linked are in one component; after that only pairs of
+4. So that thousands of near copies are not compared pair by pair, each class is first compared with one other:
+   the smallest class with which it meets (two rounds). Classes found linked are in one component; after that only pairs of
    different components that share a prefix shingle are compared, all of them.
 
 Shingles are 64-bit hashes.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.bytes_text import Piece, mix, text_pieces
+from martlet.llm.bytes_text import Piece, from_planes, mix, planes, text_pieces
 from martlet.llm.components import components
 from martlet.llm.shared import stored
 
@@ -120,7 +120,7 @@ def _packed(buckets: int, bucket: np.ndarray, low: np.ndarray, owner: np.ndarray
         who = owner[part][run]
         count = np.diff(np.append(run, part.stop - part.start)).astype(np.int32)
         six = low[part].view(np.uint8).reshape(-1, 8)[:, :6]
-        rows.append((int(b), six.tobytes(), keys[who].tobytes(), count.tobytes(), sizes[who].astype(np.int32).tobytes()))
+        rows.append((int(b), six.tobytes(), keys[who].tobytes(), planes(count), planes(sizes[who].astype(np.int32))))
     names = ["bucket", "low", "set_keys", "counts", "sizes"]
     kinds = [pa.int32(), *[pa.binary()] * 4]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
@@ -159,23 +159,33 @@ def _send_shingles(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "bucket int, low binary, set_keys binary, counts binary, sizes binary")
 
 
-def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The shingles of one bucket that occur in two or more classes, by class with their counts."""
+def _codes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(one 64-bit number per key, first row of each distinct key, code of each row)."""
+    wide = np.zeros((len(keys), 16), np.uint8)
+    wide[:, :KEY_BYTES] = keys
+    wide = wide.view(np.uint64)
+    number = wide[:, 0] ^ mix(wide[:, 1])
+    _, first, code = np.unique(number, return_index=True, return_inverse=True)
+    return number, first, code
+
+
+_BACK = "part int, set_keys binary, sizes binary, lengths binary, shingles binary, counts binary"
+
+
+def _count_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """The shingles of one bucket that occur in two or more classes, with their counts, packed by part of the classes."""
     low = np.zeros((sum(map(len, pdf["low"])) // 6, 8), np.uint8)
     low[:, :6] = np.frombuffer(b"".join(pdf["low"]), np.uint8).reshape(-1, 6)
     low = low.view(np.uint64).ravel()
-    runs = np.frombuffer(b"".join(pdf["counts"]), np.int32)
+    runs = np.concatenate([from_planes(x, np.int32) for x in pdf["counts"]])
     keys = np.frombuffer(b"".join(pdf["set_keys"]), np.uint8).reshape(-1, KEY_BYTES)
-    sizes = np.frombuffer(b"".join(pdf["sizes"]), np.int32)
+    sizes = np.concatenate([from_planes(x, np.int32) for x in pdf["sizes"]])
     # a class whose copies lie in several tasks was sent by each of them: its first run stays
-    wide = np.zeros((len(keys), 16), np.uint8)
-    wide[:, :KEY_BYTES] = keys
-    wide = wide.view(np.uint64)
-    _, first = np.unique(wide[:, 0] ^ mix(wide[:, 1]), return_index=True)
+    number, first, _ = _codes(keys)
     one = np.zeros(len(runs), bool)
     one[first] = True
     low = low[np.repeat(one, runs)]
-    runs, keys, sizes = runs[one], keys[one], sizes[one]
+    runs, keys, sizes, number = runs[one], keys[one], sizes[one], number[one]
     order = np.argsort(low)
     new = np.flatnonzero(np.append(True, np.diff(low[order]) != 0)) if len(low) else np.zeros(0, int)
     times = np.diff(np.append(new, len(low))).astype(np.int32)
@@ -183,55 +193,54 @@ def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     count[order] = np.repeat(times, times)
     del order
     shared = count > 1
-    ends = np.cumsum(runs)
     held = np.zeros(len(low) + 1, np.int64)
     np.cumsum(shared, out=held[1:])
-    stops = held[ends]
-    starts = held[ends - runs]
+    ends = np.cumsum(runs)
+    lengths = (held[ends] - held[ends - runs]).astype(np.int32)
+    part = (number % np.uint64(parts)).astype(np.int64)
     low, count = mix(low[shared] ^ mix(np.uint64([pdf["bucket"].iloc[0]]))), count[shared]
-    some = np.flatnonzero(stops > starts)
+    by_part = np.argsort(np.repeat(part, lengths), kind="stable")
+    low, count = low[by_part], count[by_part]
+    order = np.argsort(part, kind="stable")
+    order = order[lengths[order] > 0]
+    borders = np.searchsorted(part[order], np.arange(parts + 1))
+    at = np.concatenate([[0], np.cumsum(lengths[order])])
+    rows = []
+    for p in np.flatnonzero(np.diff(borders)):
+        who = order[borders[p] : borders[p + 1]]
+        tokens = slice(at[borders[p]], at[borders[p + 1]])
+        rows.append((p, keys[who].tobytes(), planes(sizes[who]), planes(lengths[who]), low[tokens].tobytes(), planes(count[tokens])))
+    return pd.DataFrame(rows, columns=["part", "set_keys", "sizes", "lengths", "shingles", "counts"])
+
+
+def _order_rare_first(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The classes of one part whose prefix has a shared shingle, with their shared shingles, rarest first."""
+    keys = np.frombuffer(b"".join(pdf["set_keys"]), np.uint8).reshape(-1, KEY_BYTES)
+    sizes = np.concatenate([from_planes(x, np.int32) for x in pdf["sizes"]])
+    lengths = np.concatenate([from_planes(x, np.int32) for x in pdf["lengths"]])
+    shingles = np.frombuffer(b"".join(pdf["shingles"]), np.uint64)
+    counts = np.concatenate([from_planes(x, np.int32) for x in pdf["counts"]])
+    _, first, code = _codes(keys)
+    keys, sizes = keys[first], sizes[first].astype(np.int64)
+    shared = np.bincount(code, lengths, len(first)).astype(np.int64)
+    own = sizes - shared
+    some = own < prefix_length(sizes)
+    owner = np.repeat(code, lengths)
+    kept = some[owner]
+    shingles, counts, owner = shingles[kept], counts[kept], owner[kept]
+    shingles = shingles[np.lexsort((shingles, counts, owner))]
+    ends = np.cumsum(np.where(some, shared, 0))
+    who = np.flatnonzero(some)
     return pd.DataFrame(
         {
-            "set_key": [keys[i].tobytes() for i in some],
-            "n": sizes[some],
-            "shingles": [low[starts[i] : stops[i]].tobytes() for i in some],
-            "counts": [count[starts[i] : stops[i]].tobytes() for i in some],
+            "set_key": [keys[i].tobytes() for i in who],
+            "n": sizes[who],
+            "own": own[who],
+            "shingles": [shingles[ends[i] - shared[i] : ends[i]].tobytes() for i in who],
         }
     )
 
 
-def _order_rare_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins a class's rows (they follow each other) and keeps it if its prefix has a shared shingle."""
-    out: list[tuple] = []
-
-    def close(key, n, shingles, counts):
-        s = np.frombuffer(b"".join(shingles), np.uint64)
-        c = np.frombuffer(b"".join(counts), np.int32)
-        own = n - len(s)
-        if own < prefix_length(n):
-            out.append((key, n, own, s[np.lexsort((s, c))].tobytes()))
-
-    def emit():
-        cols = list(zip(*out)) if out else [(), (), (), ()]
-        out.clear()
-        kinds = (pa.binary(), pa.int32(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["set_key", "n", "own", "shingles"])
-
-    key, n, shingles, counts = None, 0, [], []
-    for batch in batches:
-        for k, size, s, c in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-            if k != key:
-                if key is not None:
-                    close(key, n, shingles, counts)
-                key, n, shingles, counts = k, size, [], []
-            shingles.append(s)
-            counts.append(c)
-        yield emit()
-    if key is not None:
-        close(key, n, shingles, counts)
-    yield emit()
-
-
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parts = []
@@ -291,39 +300,40 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def class_links(docs: DataFrame, total_shingles: int) -> DataFrame:
     """(node, component) of all classes with a link to another class."""
     buckets = max(1, -(-total_shingles // BUCKET_SHINGLES))
-    counted = _send_shingles(docs, buckets).groupBy("bucket").applyInPandas(_count_bucket, "set_key binary, n int, shingles binary, counts binary")
-    sets = stored(
-        counted.repartition("set_key").sortWithinPartitions("set_key").mapInArrow(_order_rare_first, "set_key binary, n int, own int, shingles binary"),
-        "rare-first",
-    )
+    counted = _send_shingles(docs, buckets).groupBy("bucket").applyInPandas(lambda pdf: _count_bucket(pdf, buckets), _BACK)
+    sets = stored(counted.groupBy("part").applyInPandas(_order_rare_first, "set_key binary, n int, own int, shingles binary"), "rare-first")
     prefixes = stored(sets.mapInArrow(_prefixes, "shingle long, set_key binary, n int, place int"), "prefixes")
+    found = docs.sparkSession.createDataFrame([], "node binary, component binary")
     links = verified = None
-    found = None
     for turn in range(STAR_ROUNDS + 1):
         placed = prefixes.withColumn("c", F.col("set_key"))
-        if found is not None:
+        if links is not None:
             placed = prefixes.join(found, F.col("set_key") == F.col("node"), "left").select(
                 "shingle", "set_key", "n", "place", F.coalesce("component", "set_key").alias("c")
             )
+        # only shingles in which different components meet
         mixed = placed.groupBy(F.col("shingle").alias("s")).agg(F.min(F.struct("c", "set_key", "n", "place")).alias("first"), F.max("c").alias("last"))
         mixed = mixed.filter(F.col("first.c") != F.col("last"))
+        meet = (F.col("shingle") == F.col("s")) & (F.col("c") != F.col("c2")) & _possible("n", "place", "m", "q")
         if turn < STAR_ROUNDS:
             other = mixed.select("s", F.col("first.c").alias("c2"), F.col("first.set_key").alias("k2"), F.col("first.n").alias("m"), F.col("first.place").alias("q"))
+            pairs = placed.join(other, meet).groupBy("set_key").agg(F.min("k2").alias("k2"))
         else:
             other = placed.join(mixed.select("s"), F.col("shingle") == F.col("s"), "left_semi").select(
                 F.col("shingle").alias("s"), F.col("c").alias("c2"), F.col("set_key").alias("k2"), F.col("n").alias("m"), F.col("place").alias("q")
             )
-        meet = (F.col("shingle") == F.col("s")) & (F.col("c") != F.col("c2")) & _possible("n", "place", "m", "q")
-        if turn == STAR_ROUNDS:
-            meet = meet & (F.col("set_key") < F.col("k2"))
-        pairs = placed.join(other, meet).select(F.least("set_key", "k2").alias("a"), F.greatest("set_key", "k2").alias("b")).distinct()
+            pairs = placed.join(other, meet & (F.col("set_key") < F.col("k2")))
+        pairs = pairs.select(F.least("set_key", "k2").alias("a"), F.greatest("set_key", "k2").alias("b")).distinct()
         if verified is not None:
             pairs = pairs.join(verified, ["a", "b"], "left_anti")
         pairs = stored(pairs, "candidates")
-        new = stored(_verified(pairs, sets), "links")
-        links = new if links is None else links.unionByName(new)
+        if pairs.isEmpty():
+            continue
         verified = pairs if verified is None else verified.unionByName(pairs)
-        found = components(links)
+        new = stored(_verified(pairs, sets), "links")
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            found = components(links)
     return found
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.bytes_text import _BASE, Piece, mix, text_pieces
+from martlet.llm.bytes_text import _BASE, Piece, from_planes, mix, planes, text_pieces
 from martlet.llm.shared import stored
 
 WINDOW = 20
@@ -58,16 +58,6 @@ def anchored_windows(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, best[at], hashes
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """The values' first bytes, then their second ones, and so on: high bytes are mostly 0 and compress well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
-
-
-def _from_planes(data: bytes, dtype: type) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
-
-
 def _cells(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The cell of each row within the chunk."""
     first = hashes & np.uint64(ROW_CELLS - 1)
@@ -147,7 +137,7 @@ def _partition_anchors(docs: DataFrame, chunks: int) -> DataFrame:
             part = slice(borders[c], borders[c + 1])
             run = np.flatnonzero(np.append(True, keys[part][1:] != keys[part][:-1]))
             count = np.diff(np.append(run, part.stop - part.start)).astype(np.int32)
-            rows.append((int(c), _planes(cells[part]), _planes(places[part]), keys[part][run].tobytes(), count.tobytes()))
+            rows.append((int(c), planes(cells[part]), planes(places[part]), keys[part][run].tobytes(), count.tobytes()))
         names = ["chunk", "cells", "places", "keys", "counts"]
         kinds = [pa.int32(), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
@@ -172,11 +162,11 @@ def _look_up(anchors: pd.DataFrame, sketch: pd.DataFrame) -> pd.DataFrame:
     if len(anchors) and len(sketch):
         repeated = np.unpackbits(np.frombuffer(sketch["repeated"].iloc[0], np.uint8)).astype(bool)
         for cells, places, keys, counts in zip(anchors["cells"], anchors["places"], anchors["keys"], anchors["counts"]):
-            cells = _from_planes(cells, np.uint64).astype(np.int64)
+            cells = from_planes(cells, np.uint64).astype(np.int64)
             again = repeated[cells % (2 * ROW_CELLS)] & repeated[cells // (2 * ROW_CELLS)]
             counts = np.frombuffer(counts, np.int32)
             owner = np.repeat(np.arange(len(counts)), counts)[again]
-            places = _from_planes(places, np.int32)[again]
+            places = from_planes(places, np.int32)[again]
             keys = np.frombuffer(keys, np.int64)
             borders = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else []
             for a, b in zip(borders, [*borders[1:], len(owner)]):
@@ -303,7 +293,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     smaller key, then an earlier start.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, -(-int(size) // (BYTES_PER_CELL * ROW_CELLS)))
+    chunks = max(1, int(-(-int(size) // (BYTES_PER_CELL * ROW_CELLS))))
     merged = _partition_sketches(docs, chunks).groupBy("chunk").applyInPandas(_merge, "chunk int, repeated binary")
     sketch = stored(merged, "sketch")
     looked_up = _partition_anchors(docs, chunks).groupBy("chunk").cogroup(sketch.groupBy("chunk"))
