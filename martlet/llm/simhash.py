@@ -87,7 +87,7 @@ def within_radius(queries: DataFrame, index: DataFrame) -> DataFrame:
     first = F.coalesce(*[F.when(differs.bitwiseAND(F.lit(m)) == 0, i) for i, m in enumerate(masks)])
     meet = (F.col("tq") == F.col("tx")) & (F.col("kq") == F.col("kx"))
     meet = meet & (F.bit_count(differs) <= RADIUS) & (first == F.col("tq"))
-    pairs = tables(queries, "q").join(tables(index, "x"), meet)
+    pairs = tables(queries, "q").join(tables(index, "x").hint("merge"), meet)
     return pairs.select(F.col("q").alias("query"), F.col("x").alias("fingerprint"), F.bit_count(differs).alias("distance"))
 
 
@@ -139,11 +139,14 @@ def compare_edits(docs: DataFrame, query_divisor: int = 20) -> DataFrame:
     rows share a doc_id and differ in text, the next document is taken to have the smallest prefix and the smallest fingerprint of
     them. A single document is its own next one. Other columns are ignored; an empty table gives no rows.
     """
-    texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
+    # the key alone names a document, so that both joins with the texts read the same columns and share one shuffle;
+    # all joins that grow with the documents are sort-merge joins, at any size
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    doc_id = F.nullif(F.col("key"), F.lit("")).cast(docs.schema["doc_id"].dataType)
+    around = stored(neighbours(texts.select("key", doc_id.alias("doc_id"), F.char_length("text").alias("n_chars"))), "neighbours")
+    given = texts.join(
+        around.select(F.col("key").alias("k"), "previous_key", "previous_chars").hint("merge"), F.col("key") == F.col("k")
     )
-    around = stored(neighbours(texts.select("key", "doc_id", F.char_length("text").alias("n_chars"))), "neighbours")
-    given = texts.join(around.select(F.col("key").alias("k"), "previous_key", "previous_chars"), F.col("key") == F.col("k"))
     heads = (
         given.select(F.col("previous_key").alias("to"), F.substring("text", F.lit(1), F.floor(F.col("previous_chars") / 3).cast("int")).alias("head"))
         .groupBy("to")
@@ -152,10 +155,10 @@ def compare_edits(docs: DataFrame, query_divisor: int = 20) -> DataFrame:
     n = F.char_length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("head", F.lit(1), cut))
-    both = texts.join(heads, F.col("key") == F.col("to")).select("key", "doc_id", "text", edited.alias("edited"))
-    keys = ["key", "doc_id", "n_chars", "text_hash", "edited_sha256", "edit"]
+    both = texts.join(heads.hint("merge"), F.col("key") == F.col("to")).select("key", "text", edited.alias("edited"))
+    keys = ["key", "n_chars", "text_hash", "edited_sha256", "edit"]
     listed = both.select(
-        "key", "doc_id", n.cast("long").alias("n_chars"), F.xxhash64("text").alias("text_hash"), F.sha2("edited", 256).alias("edited_sha256"),
+        "key", n.cast("long").alias("n_chars"), F.xxhash64("text").alias("text_hash"), F.sha2("edited", 256).alias("edited_sha256"),
         F.posexplode(F.array("text", "edited")).alias("edit", "version"),
     )
     prints = fingerprints(listed, keys, "version")
@@ -168,22 +171,23 @@ def compare_edits(docs: DataFrame, query_divisor: int = 20) -> DataFrame:
         "fingerprints",
     )
     by_key = prints.groupBy(F.col("key").alias("nk")).agg(F.min("f").alias("nf"))
-    nexts = around.select(F.col("key").alias("k"), "next_key").join(by_key, F.col("next_key") == F.col("nk")).select("k", "nf")
+    nexts = around.select(F.col("key").alias("k"), "next_key").join(by_key.hint("merge"), F.col("next_key") == F.col("nk")).select("k", "nf")
 
-    asked = (F.col("doc_id") % query_divisor) == 0
+    asked = (doc_id % query_divisor) == 0
     classes = prints.groupBy(F.col("f").alias("fingerprint")).agg(F.sum("copies").alias("documents"))
     pairs = within_radius(prints.filter(asked).select(F.col("f").alias("fingerprint")), classes)
     near = (
-        pairs.join(classes, "fingerprint").groupBy(F.col("query").alias("asked")).agg(F.sum("documents").alias("n_within_radius"))
+        pairs.join(classes.hint("merge"), "fingerprint").groupBy(F.col("query").alias("asked")).agg(F.sum("documents").alias("n_within_radius"))
     )
-    joined = prints.join(nexts, F.col("key") == F.col("k")).join(near, asked & (F.col("f") == F.col("asked")), "left")
+    joined = prints.join(nexts.hint("merge"), F.col("key") == F.col("k"))
+    joined = joined.join(near.hint("merge"), F.col("f") == F.col("asked"), "left")
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        "doc_id",
+        doc_id.alias("doc_id"),
         "n_chars",
         "edited_sha256",
         as_text(F.col("f")).alias("fingerprint"),
         as_text(F.col("e")).alias("edited_fingerprint"),
         likeness(F.col("f"), F.col("e")).alias("near_edited"),
         likeness(F.col("f"), F.col("nf")).alias("near_next"),
-        "n_within_radius",
+        F.when(asked, F.col("n_within_radius")).alias("n_within_radius"),
     )
