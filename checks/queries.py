@@ -81,8 +81,8 @@ SELECT '{table}' AS table_name, (SELECT COUNT(*) FROM src_{table}) AS row_count,
 
 
 Q["describe_tables"] = "\nUNION ALL\n".join(_described(t, c) for t, c in _COLUMNS.items())
-Q["limit_rows"] = "SELECT * FROM src_orders ORDER BY order_purchase_timestamp, order_id LIMIT 50000"
-Q["preview"] = "SELECT * FROM fct_daily_revenue LIMIT 10000"
+Q["limit_rows"] = "SELECT * FROM src_orders ORDER BY order_purchase_timestamp, order_id LIMIT 1000"
+Q["preview"] = "SELECT * FROM fct_daily_revenue ORDER BY order_date LIMIT 25"
 Q["run_sql"] = """
 SELECT customer_state, COUNT(*) AS customers, COUNT(DISTINCT customer_city) AS cities FROM stg_customers GROUP BY ALL"""
 

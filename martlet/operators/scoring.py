@@ -6,14 +6,13 @@ from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.metrics import lead_recommendation, lead_tier
-from martlet.functions.numeric import count_if, half_up, ratio
+from martlet.functions.numeric import half_up, ratio
 from martlet.operators.marts import fct_lead_scoring_features
 from martlet.operators.staging import stg_customers, stg_hubspot_contacts, stg_hubspot_deals, stg_orders
 from martlet.session import ensure_checkpoint_dir
@@ -25,6 +24,9 @@ FEATURES = ["sessions", "engaged_sessions", "page_views", "is_first_visit"]
 # Training parameters.
 PARAMS = {"maxDepth": 5, "stepSize": 0.1, "maxIter": 100, "seed": 42}
 
+# of folded leads while a model is trained
+ROWS_PER_PARTITION = 100_000
+
 # Boost per channel, and the parts of the rule score.
 CHANNEL_BOOST = {"Direct": 1.2, "Organic Search": 1.1}
 SEGMENT_POINTS = {"Premium": 0.25, "Standard": 0.15, "Economy": 0.05}
@@ -118,26 +120,37 @@ def train_lead_model(train: DataFrame, **params) -> PipelineModel:
     ]
     folded = folded.persist()
     try:
-        return Pipeline(stages=stages).fit(folded)
+        # the trees run several jobs a round: few rows in many partitions would only cost tasks
+        parts = max(1, -(-folded.count() // ROWS_PER_PARTITION))
+        return Pipeline(stages=stages).fit(folded.coalesce(parts))
     finally:
         folded.unpersist()
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     """Accuracy, precision, recall, F1 at 0.5 and AUC on held-out rows, as (metric, value)."""
-    scored = model.transform(test.select(*FEATURES, "is_won"))
-    auc = BinaryClassificationEvaluator(labelCol="is_won", metricName="areaUnderROC").evaluate(scored)
+    folded = test.groupBy(*FEATURES, "is_won").agg(F.count(F.lit(1)).alias("_n"))
+    scored = model.transform(folded).withColumn("_score", vector_to_array("probability")[1])
+    of = lambda cond: F.sum(F.when(cond, F.col("_n")).otherwise(0))
     said, was = F.col("prediction") == 1, F.col("is_won") == 1
-    tp, fp, fn = count_if(said & was), count_if(said & ~was), count_if(~said & was)
+    # one row per distinct score, bounded by the combinations of a few small counts
+    by_score = scored.groupBy("_score").agg(
+        of(was).alias("_won"), of(~was).alias("_lost"), of(said & was).alias("_tp"), of(said & ~was).alias("_fp")
+    )
+    below = Window.partitionBy(F.lit(0)).orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = by_score.withColumn("_below", F.coalesce(F.sum("_lost").over(below), F.lit(0)))
+    won, lost, tp, fp = (F.sum(c) for c in ("_won", "_lost", "_tp", "_fp"))
+    # pairs of a won and a lost lead in the right order, ties counting half
+    right = F.sum(F.col("_won") * (2 * F.col("_below") + F.col("_lost")))
     values = {
-        "accuracy": ratio(count_if(said == was), F.count(F.lit(1))),
+        "accuracy": ratio(tp + lost - fp, won + lost),
         "precision": ratio(tp, tp + fp),
-        "recall": ratio(tp, tp + fn),
-        "f1": ratio(2 * tp, 2 * tp + fp + fn),
-        "auc": F.lit(float(auc)),
+        "recall": ratio(tp, won),
+        "f1": ratio(2 * tp, tp + fp + won),
+        "auc": ratio(right, 2 * won * lost),
     }
     rows = [F.struct(F.lit(n).alias("metric"), half_up(v, 6).alias("value")) for n, v in values.items()]
-    return scored.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
+    return ranked.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
 
 
 def boosted_score(probability: Column, channel: Column) -> Column:

@@ -102,7 +102,7 @@ def read_csv_table(src: Sources) -> DataFrame:
 
 @query
 def write_table(src: Sources) -> DataFrame:
-    return io.write_table(fct_marketing_daily(src), scratch_dir(src.spark, "table"))
+    return io.write_table(src.model(fct_marketing_daily), scratch_dir(src.spark, "table"))
 
 
 @query
@@ -153,9 +153,9 @@ _add(
         _raw(src, "orders", "customers", "order_payments", "ga4_daily_sessions")
     ),
     limit_rows=lambda src: io.limit_rows(
-        src.table("orders"), 50_000, [F.col("order_purchase_timestamp").asc_nulls_last(), F.col("order_id").asc()]
+        src.table("orders"), 1_000, [F.col("order_purchase_timestamp").asc_nulls_last(), F.col("order_id").asc()]
     ),
-    preview=lambda src: io.preview(src.model(fct_daily_revenue), 10_000),
+    preview=lambda src: io.preview(src.model(fct_daily_revenue), 25, [F.col("order_date").asc_nulls_last()]),
 )
 
 
@@ -325,7 +325,7 @@ def click_cvr(src: Sources) -> DataFrame:
 
 @query
 def normalised_attribution(src: Sources) -> DataFrame:
-    shares = fct_marketing_attribution(src).select("channel", "linear_revenue")
+    shares = src.model(fct_marketing_attribution).select("channel", "linear_revenue")
     return normalise_attribution(shares, "linear_revenue")
 
 
@@ -333,7 +333,7 @@ def normalised_attribution(src: Sources) -> DataFrame:
 def formatted_metrics(src: Sources) -> DataFrame:
     """Display strings of the channel table."""
     spend, revenue = F.col("total_spend"), F.col("attributed_revenue")
-    return fct_channel_performance(src).select(
+    return src.model(fct_channel_performance).select(
         "channel",
         fm.fmt_money(spend).alias("spend_text"),
         fm.fmt_money(revenue, "precise").alias("revenue_text"),
@@ -414,16 +414,12 @@ _add(
 # Lead scoring
 
 
-_models: dict[tuple[str, str], PipelineModel] = {}
-
-
 def _lead_model(src: Sources) -> PipelineModel:
-    """The model of these tables, trained once per application."""
-    key = (src.spark.sparkContext.applicationId, src.label)
-    if key not in _models:
+    """The model of these tables, trained once for each ``Sources``."""
+    if "lead_model" not in src.memo:
         leads = scoring.split(scoring.lead_features(src))
-        _models[key] = scoring.train_lead_model(leads.filter(~F.col("is_test")))
-    return _models[key]
+        src.memo["lead_model"] = scoring.train_lead_model(leads.filter(~F.col("is_test")))
+    return src.memo["lead_model"]
 
 
 def _test_leads(src: Sources) -> DataFrame:
@@ -491,7 +487,7 @@ def routed_leads(src: Sources) -> DataFrame:
     schema = StructType([f for f in leads.schema.fields])
     return route_leads(
         src.spark, f"{base}/inbox", schema, _lead_model(src), f"{base}/alerts",
-        f"{base}/checkpoint", threshold=0.5, files_per_trigger=4,
+        f"{base}/checkpoint", files_per_trigger=4,
     )
 
 

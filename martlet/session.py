@@ -26,7 +26,7 @@ def initial_partitions(input_bytes: int) -> int:
 
     About a quarter of the input is shuffled once columns are pruned, at 256 MiB a partition.
     """
-    return min(max(200, input_bytes // 4 // (256 << 20)), 100_000)
+    return max(200, input_bytes // 4 // (256 << 20))
 
 
 def build_session(

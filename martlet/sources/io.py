@@ -102,14 +102,19 @@ def describe_tables(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
-def preview(df: DataFrame, n: int) -> DataFrame:
-    return df.limit(n)
+def preview(df: DataFrame, n: int, order_by: list) -> DataFrame:
+    """The first n rows of a table in an order that makes them the same each time."""
+    return limit_rows(df, n, order_by)
 
 
 def run_sql(
     spark: SparkSession, sql: str, tables: dict[str, DataFrame]
 ) -> tuple[DataFrame | None, str | None]:
-    """Ad-hoc read-only SQL over the given tables: (frame, None) or (None, error text)."""
+    """Ad-hoc read-only SQL over the given tables: (frame, None) or (None, error text).
+
+    The statement runs once to a sink that keeps nothing, so errors of its rows come back as text too. What could
+    leave the engine (scripts, calls of Java methods) is refused by the analysed plan, whatever the text looks like.
+    """
     if not re.match(r"(?is)^\s*(select|with)\b", sql):
         return None, "only SELECT or WITH statements are allowed"
     # A Spark statement may start with WITH or SELECT only to read; the one exception is a CTE
@@ -119,7 +124,12 @@ def run_sql(
     try:
         for name, df in tables.items():
             df.createOrReplaceTempView(name)
-        return spark.sql(sql), None
+        frame = spark.sql(sql)
+        plan = frame._jdf.queryExecution().analyzed().toString()
+        if re.search(r"(?i)ScriptTransformation|\b(try_)?reflect\(|\bjava_method\(|CallMethodViaReflection", plan):
+            return None, "scripts and Java methods are not allowed"
+        frame.write.format("noop").mode("overwrite").save()
+        return frame, None
     except PySparkException as error:
         return None, str(error)
 

@@ -35,6 +35,8 @@ class Sources:
         self._tables: dict[str, DataFrame] = {}
         self._models: dict[str, DataFrame] = {}
         self.stored: dict[str, DataFrame] = {}
+        # what was computed from these tables and is no frame, such as a trained model
+        self.memo: dict[str, object] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:

@@ -64,6 +64,12 @@ def test_run_sql_reads_only(spark):
     for bad in ("DROP TABLE numbers", "INSERT INTO numbers VALUES (1)", "WITH a AS (SELECT 1) INSERT INTO numbers SELECT * FROM a"):
         got, error = io.run_sql(spark, bad, {"numbers": df})
         assert got is None and "SELECT" in error
+    for escape in ("SELECT TRANSFORM(id) USING 'cat' AS x FROM numbers", "SELECT java_method('java.lang.Math', 'abs', 1)",
+                   "SELECT try_reflect('java.lang.Math', 'abs', 1)"):
+        got, error = io.run_sql(spark, escape, {"numbers": df})
+        assert got is None and "not allowed" in error
+    got, error = io.run_sql(spark, "SELECT 1 / 0 AS x", {})
+    assert got is None and "DIVIDE_BY_ZERO" in error
     got, error = io.run_sql(spark, "SELECT nothing FROM numbers", {"numbers": df})
     assert got is None and "nothing" in error
 

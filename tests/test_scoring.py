@@ -121,3 +121,16 @@ def test_stream_without_leads_gives_an_empty_alert_table(spark, leads, model, tm
         spark, str(tmp_path / "inbox"), inbound.schema, model, str(tmp_path / "alerts"), str(tmp_path / "checkpoint")
     )
     assert got.columns == ["contact_id", "email", "score", "action"] and got.count() == 0
+
+
+def test_auc_is_exact(spark, leads, model):
+    """Against all pairs of a won and a lost lead, ties counting half."""
+    from pyspark.ml.functions import vector_to_array
+
+    scored = model.transform(leads).select(vector_to_array("probability")[1].alias("p"), "is_won").collect()
+    won, lost = [r.p for r in scored if r.is_won == 1], [r.p for r in scored if r.is_won == 0]
+    right = sum((a > b) + (a == b) / 2 for a in won for b in lost)
+    got = {r.metric: r.value for r in scoring.evaluate(model, leads).collect()}
+    assert abs(got["auc"] - right / (len(won) * len(lost))) < 1e-6
+    said = [(r.p > 0.5, r.is_won == 1) for r in scored]
+    assert abs(got["accuracy"] - sum(a == b for a, b in said) / len(said)) < 1e-6
