@@ -14,7 +14,7 @@ and joins as one.
    place of the shingle (positional filter) still allow the overlap that 0.75 needs. The suffix filter then halves both sets
    at a shingle, twice, for a tighter bound, and the intersection decides. A pair is verified once.
 4. So that thousands of near copies are not compared pair by pair, each class is first compared with one other:
-   the smallest class with which it meets (two rounds). Classes found linked are in one component; after that only pairs of
+   the class with the fewest shingles of its own that it meets, the likeliest centre of the copies (two rounds). Classes found linked are in one component; after that only pairs of
    different components that share a prefix shingle are compared, all of them.
 
 Shingles are 64-bit hashes.
@@ -37,8 +37,8 @@ from martlet.llm.shared import stored
 SHINGLE = 5
 SIMILAR = (3, 4)  # 0.75 as a fraction
 KEY_BYTES = 10  # of a class's key
-BUCKET_SHINGLES = 3_000_000  # about 150 MB in the task that counts them
-FLUSH_SHINGLES = 2_000_000
+BUCKET_SHINGLES = 2_500_000  # about 120 MB in the task that counts them
+FLUSH_SHINGLES = 1_000_000
 STAR_ROUNDS = 2
 _LOW = np.uint64((1 << 48) - 1)
 
@@ -246,11 +246,11 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for i, (n, own, blob) in enumerate(zip(*[batch.column(k).to_pylist() for k in ("n", "own", "shingles")])):
             tokens = np.frombuffer(blob, np.int64)[: prefix_length(n) - own]
-            parts.append((np.full(len(tokens), i), tokens, np.full(len(tokens), n, np.int32), own + np.arange(len(tokens), dtype=np.int32)))
+            parts.append((np.full(len(tokens), i), tokens, np.full(len(tokens), n, np.int32), own + np.arange(len(tokens), dtype=np.int32), np.full(len(tokens), own, np.int32)))
         if parts:
-            who, tokens, n, at = (np.concatenate(x) for x in zip(*parts))
+            who, tokens, *rest = (np.concatenate(x) for x in zip(*parts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens), batch.column("set_key").take(pa.array(who)), pa.array(n), pa.array(at)], names=["shingle", "set_key", "n", "place"]
+                [pa.array(tokens), batch.column("set_key").take(pa.array(who)), *map(pa.array, rest)], names=["shingle", "set_key", "n", "place", "own"]
             )
 
 
@@ -284,9 +284,10 @@ def _possible(n: str, p: str, m: str, q: str):
     a, b = SIMILAR
     n, p, m, q = (F.col(c).cast("long") for c in (n, p, m, q))
     length = (b * n >= a * m) & (b * m >= a * n)
-    # the shingle itself and at most what follows it in the shorter rest; none of what precedes it can be
-    # counted on, so places before it add at most the smaller of the two
-    most = F.least(p, q) + 1 + F.least(n - p - 1, m - q - 1)
+    # Two linked sets meet at their first common shingle too, and there nothing before it is common: their overlap is
+    # that shingle and at most what follows it in the shorter rest. Where they meet later the bound may be too
+    # low, which loses nothing, as one meeting is enough.
+    most = 1 + F.least(n - p - 1, m - q - 1)
     return length & ((a + b) * most >= a * (n + m))
 
 
@@ -302,22 +303,22 @@ def class_links(docs: DataFrame, total_shingles: int) -> DataFrame:
     buckets = max(1, -(-total_shingles // BUCKET_SHINGLES))
     counted = _send_shingles(docs, buckets).groupBy("bucket").applyInPandas(lambda pdf: _count_bucket(pdf, buckets), _BACK)
     sets = stored(counted.groupBy("part").applyInPandas(_order_rare_first, "set_key binary, n int, own int, shingles binary"), "rare-first")
-    prefixes = stored(sets.mapInArrow(_prefixes, "shingle long, set_key binary, n int, place int"), "prefixes")
+    prefixes = stored(sets.mapInArrow(_prefixes, "shingle long, set_key binary, n int, place int, own int"), "prefixes")
     found = docs.sparkSession.createDataFrame([], "node binary, component binary")
     links = verified = None
     for turn in range(STAR_ROUNDS + 1):
         placed = prefixes.withColumn("c", F.col("set_key"))
         if links is not None:
             placed = prefixes.join(found, F.col("set_key") == F.col("node"), "left").select(
-                "shingle", "set_key", "n", "place", F.coalesce("component", "set_key").alias("c")
+                "shingle", "set_key", "n", "place", "own", F.coalesce("component", "set_key").alias("c")
             )
         # only shingles in which different components meet
-        mixed = placed.groupBy(F.col("shingle").alias("s")).agg(F.min(F.struct("c", "set_key", "n", "place")).alias("first"), F.max("c").alias("last"))
-        mixed = mixed.filter(F.col("first.c") != F.col("last"))
+        centre = F.min(F.struct("own", "set_key", "c", "n", "place")).alias("first")
+        mixed = placed.groupBy(F.col("shingle").alias("s")).agg(centre, F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
         meet = (F.col("shingle") == F.col("s")) & (F.col("c") != F.col("c2")) & _possible("n", "place", "m", "q")
         if turn < STAR_ROUNDS:
-            other = mixed.select("s", F.col("first.c").alias("c2"), F.col("first.set_key").alias("k2"), F.col("first.n").alias("m"), F.col("first.place").alias("q"))
-            pairs = placed.join(other, meet).groupBy("set_key").agg(F.min("k2").alias("k2"))
+            other = mixed.select("s", F.col("first.c").alias("c2"), F.col("first.set_key").alias("k2"), F.col("first.n").alias("m"), F.col("first.place").alias("q"), F.col("first.own").alias("own2"))
+            pairs = placed.join(other, meet).groupBy("set_key").agg(F.min(F.struct("own2", "k2")).alias("with")).select("set_key", "with.k2")
         else:
             other = placed.join(mixed.select("s"), F.col("shingle") == F.col("s"), "left_semi").select(
                 F.col("shingle").alias("s"), F.col("c").alias("c2"), F.col("set_key").alias("k2"), F.col("n").alias("m"), F.col("place").alias("q")
