@@ -83,14 +83,15 @@ def leaf_budgets(leaves: DataFrame, weights: dict[tuple, int], budget_percent: i
 
     The whole budget is ``budget_percent`` percent of all tokens.
     """
-    total = leaves.agg(F.sum("available").alias("all"))
-    given = F.floor(F.lit(budget_percent) * F.coalesce(F.col("all"), F.lit(0)) / 100).cast("long")
     named = leaves.withColumn("capacity", F.col("available") * max_epochs).withColumn("leaf", node_key(3))
-    above = total.select(F.lit("").alias("parent"), given.alias("given"))
+    # the root's key is an empty text cut from the keys below it: a literal would turn the join into a cross join
+    root = lambda key: F.substring(key, 1, 0)
+    total = named.groupBy(root("leaf").alias("parent")).agg(F.sum("available").alias("all"))
+    above = total.select("parent", F.floor(F.lit(budget_percent) * F.col("all") / 100).cast("long").alias("given"))
     for depth in (1, 2, 3):
         level = LEVELS[:depth]
         nodes = named.groupBy(*level).agg(F.sum("capacity").alias("capacity"))
-        parent = node_key(depth - 1) if depth > 1 else F.lit("")
+        parent = node_key(depth - 1) if depth > 1 else root(node_key(1))
         nodes = nodes.select(*level, parent.alias("up"), node_key(depth).alias("node"), "capacity", _weight(depth, weights).alias("weight"))
         nodes = nodes.join(above, F.col("up") == F.col("parent")).drop("up")
         filled = _fill(nodes)
