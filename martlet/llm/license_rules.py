@@ -84,7 +84,7 @@ def _rules() -> Column:
 
 GATE_PATTERN = (
     "licen[cs]|(?:ed|able) under |\\b0?bsd|gpl|\\bcc[0 -]|cecill|eupl|zlib|wtfpl|mit-0|mit no attr|opensource\\.org|(?:apache|gnu|mozilla|eclipse|boost|creativecommons|sil)\\.org|"
-    "openrail|public domain|rights reserved|rechte vorbehalten|tous droits|todos los derechos|permission|redistribution and use|neither the name|"
+    "open ?rail|public domain|rights reserved|rechte vorbehalten|tous droits|todos los derechos|permission|redistribution and use|neither the name|"
     "all advertising materials|altered source versions|same terms as perl|used for good|invariant sections|terms of the mozilla|"
     "proprietary|research purposes|non-commercial|personal use|commons attribution|ofl"
 )
