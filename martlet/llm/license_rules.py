@@ -5,6 +5,10 @@ with label, priority, weight and a keyword. For the labels of ``SPDX_IDS`` and `
 two more signatures each are built: the machine-readable ``SPDX-License-Identifier`` tag
 (priority 4) and the grant "licensed under the ..." around the title (priority 3).
 
+A space in a pattern or keyword stands for any run of white space, and ``.`` for any character or such a run. Detection
+therefore works on texts with each run folded to one space, so line breaks and indents hide nothing; places and
+copies are those of the folded texts. The base phrases and word counts are not affected.
+
 A text is scanned only if it holds one of the gate words, and a signature is tried only if the text
 holds its keyword. A detection is suppressed if its interval lies within that of a detection of higher
 priority, or of the same priority and longer, or with the same interval and an earlier signature. The
@@ -13,6 +17,7 @@ labels are those of the detections left, together with those of the base phrases
 
 from __future__ import annotations
 
+import re
 from functools import cache
 from pathlib import Path
 
@@ -58,16 +63,44 @@ GRANT_TITLES = {
 _GRANT = r"(?:licen[cs]ed|released|distributed|published|available|provided|made available) under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?"
 
 
+WHITE = r"[\s\p{Z}\x85\x1C-\x1F]+"
+# a class without a space at its start; one with a space, and its rest; an optional space; a space; any character
+_SPACES = re.compile(r"(\[[^ ][^\]]*\])|\[ ([^\]]+)\](\?)?|( \?)|( )|((?<!\\)\.)")
+
+
+def _on_any_text(pattern: str) -> str:
+    """The pattern with its spaces matching any white-space run."""
+
+    def wide(m: re.Match) -> str:
+        if m[1]:
+            return m[1]
+        if m[2]:
+            return rf"(?:\s+|[{m[2]}]){m[3] or ''}"
+        return r"\s*" if m[4] else r"\s+" if m[5] else r"(?:\s+|\S)"
+
+    return _SPACES.sub(wide, pattern)
+
+
+def folded(text: Column) -> Column:
+    """The text with each run of white space as one space."""
+    return F.regexp_replace(text, WHITE, " ")
+
+
+def _on_folded(pattern: str) -> str:
+    """A pattern for any text as one for folded texts, where a run is one space."""
+    return pattern.replace(r"(?:\s+|\S)", "(?s:.)").replace(r"\s+", " ").replace(r"\s*", " ?")
+
+
 @cache
 def build_signatures() -> tuple[tuple[int, str, int, float, str, str], ...]:
-    """(order, label, priority, weight, keyword, pattern), in the order in which they rank."""
+    """(order, label, priority, weight, keyword, pattern), in the order in which they rank; the patterns are for any text."""
     found = [(label, 4, 1.0, "spdx-license-identifier", rf"spdx-license-identifier:\s*\(?{tag}(?![\w.-])") for label, tag in SPDX_IDS.items()]
     found += [(label, 3, 1.0, " under ", rf"{_GRANT}{title}(?:\s+licen[cs]e)?(?![\w-])") for label, title in GRANT_TITLES.items()]
     for line in Path(__file__).with_name("license_signatures.txt").read_text("utf-8").splitlines():
         if line and not line.startswith("#"):
             label, priority, weight, keyword, pattern = (x.strip() for x in line.split("|", 4))
             found.append((label, int(priority), float(weight), keyword, pattern))
-    return tuple((i, *x) for i, x in enumerate(found))
+    return tuple((i, *x[:-1], _on_any_text(x[-1])) for i, x in enumerate(found))
 
 
 def _rules() -> Column:
@@ -75,7 +108,7 @@ def _rules() -> Column:
         *[
             F.struct(
                 F.lit(i).alias("rule"), F.lit(label).alias("label"), F.lit(p).alias("priority"),
-                F.lit(w).alias("weight"), F.lit(kw).alias("keyword"), F.lit(rx).alias("pattern"),
+                F.lit(w).alias("weight"), F.lit(kw).alias("keyword"), F.lit(_on_folded(rx)).alias("pattern"),
             )
             for i, label, p, w, kw, rx in build_signatures()
         ]
@@ -97,7 +130,7 @@ def word_text(lower: Column) -> Column:
 
 
 def detect(texts: DataFrame) -> DataFrame:
-    """Detections left after suppression for a frame (text_key, lower) of distinct texts.
+    """Detections left after suppression for a frame (text_key, lower) of distinct folded texts.
 
     (text_key, start, end, rule, label, priority, weight); start and end count characters. The
     places of a signature follow from the lengths of what lies between its matches, so the work
@@ -148,9 +181,9 @@ def scan(docs: DataFrame) -> DataFrame:
     text (by SHA-256), so a group of copies costs as much as one text.
     """
     lower = F.lower(F.coalesce("text", F.lit("")))
-    asked = docs.select("doc_id", lower.alias("lower"))
+    asked = docs.select("doc_id", lower.alias("lower"), folded(lower).alias("folded"))
     words = F.regexp_count("lower", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")).cast("long")
-    gated = F.col("lower").rlike(GATE_PATTERN)
+    gated = F.col("folded").rlike(GATE_PATTERN)
     any_phrase = "(?:" + "|".join(PHRASES.values()) + ")(?= )"
     base_gate = F.contains(F.col("lower"), F.lit("license")) | F.col("lower").rlike(r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by")
     spaces = lambda s: (F.char_length(s) - F.char_length(F.replace(s, F.lit(" "), F.lit("")))).cast("long")
@@ -159,7 +192,7 @@ def scan(docs: DataFrame) -> DataFrame:
         words.alias("n_words"),
         F.when(base_gate, word_text(F.col("lower"))).alias("_norm"),
         # other texts get keys that meet nothing, so that they don't all go to one task of the join below
-        F.when(gated, F.sha2("lower", 256)).otherwise(F.xxhash64("lower", "doc_id").cast("string")).alias("_key"),
+        F.when(gated, F.sha2("folded", 256)).otherwise(F.xxhash64("lower", "doc_id").cast("string")).alias("_key"),
     ).withColumn("n_base", F.coalesce(F.regexp_count("_norm", F.lit(" " + any_phrase)), F.lit(0)).cast("long"))
     found = F.col("n_base") > 0
     row = row.select(
@@ -174,7 +207,7 @@ def scan(docs: DataFrame) -> DataFrame:
         ).alias("_base"),
         "_key",
     )
-    texts = asked.filter(gated).select(F.sha2("lower", 256).alias("text_key"), "lower").dropDuplicates(["text_key"])
+    texts = asked.filter(gated).select(F.sha2("folded", 256).alias("text_key"), F.col("folded").alias("lower")).dropDuplicates(["text_key"])
     per_text = (
         detect(texts)
         .groupBy("text_key")

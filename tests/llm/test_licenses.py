@@ -51,3 +51,39 @@ def labels(spark, *texts):
 def test_usual_wordings(spark):
     got = labels(spark, "It may not be reproduced without prior written permission.", "Weights under Open RAIL-M.", "no permit")
     assert got == {0: ({"proprietary"}, 1, 0.5), 1: ({"openrail"}, 1, 0.9), 2: ({""}, 0, 0.0)}
+
+
+NOTICES = {
+    "bsd-3-clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
+    "gpl-2.0": "either version 2 of the License, or (at your option) any later version.",
+    "gpl-3.0": "either version 3 of the License, or (at your option) any later version.",
+    "apache-2.0": "Licensed under the Apache License, Version 2.0",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy",
+    "isc": "Permission to use, copy, modify, and distribute this software for any purpose",
+    "unlicense": "This is free and unencumbered software released into the public domain",
+    "all-rights-reserved": "All rights reserved",
+    "cc-by-sa": "CC BY SA 4.0",
+}
+
+
+def test_wrapped_notices(spark):
+    breaks = [" ", "\n", "\r\n    ", "  ", "\u00a0", "\t\u2028"]
+    texts = [notice.replace(" ", b) for notice in NOTICES.values() for b in breaks]
+    # wrapped at one place after the other
+    texts += [" ".join(w[:i]) + "\n  " + " ".join(w[i:]) for w in map(str.split, NOTICES.values()) for i in range(1, len(w))]
+    wanted = [label for label in NOTICES for _ in breaks] + [label for label, n in NOTICES.items() for _ in n.split()[1:]]
+    got = labels(spark, *texts)
+    plain = {label: got[i * len(breaks)] for i, label in enumerate(NOTICES)}
+    for i, label in enumerate(wanted):
+        found, n, score = got[i]
+        assert label in found and (n, score) == plain[label][1:], (texts[i], got[i], plain[label])
+
+
+def test_patterns_agree_on_any_and_on_folded_texts():
+    for _, label, _, _, _, pattern in license_rules.build_signatures():
+        one = license_rules._on_folded(pattern)
+        for text in variants(re._parser.parse(pattern))[:500]:
+            text = re.sub(" +", " ", text)
+            wide = text.replace(" ", "\n  ")
+            # the other way round needs folded texts: on others the parts of a run may match different spaces
+            assert len(re.findall(one, text)) <= len(re.findall(pattern, wide)), (label, text)
