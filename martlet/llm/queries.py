@@ -41,7 +41,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.compare_edits(_table(spark, sf_dir, "documents"))
+    return simhash.compare_and_link(_table(spark, sf_dir, "documents"))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

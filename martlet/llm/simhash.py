@@ -5,9 +5,10 @@ characters. The 64 bits of a term's hash (xxHash64) vote for or against the bits
 more votes are for it than against. Words are exploded and the votes added by document; nothing
 but built-in functions runs.
 
-The search cuts a fingerprint into ``BLOCKS`` blocks. Two fingerprints that differ in at most ``RADIUS``
-bits agree in at least ``BLOCKS - RADIUS`` whole blocks, so there is a table for each choice of so many blocks, keyed by their
-bits; every pair within the radius meets in one, and counts only in the first in which it meets.
+The search cuts a fingerprint into ``BLOCKS`` blocks, each with a table keyed by its bits. Two fingerprints that differ in at
+most ``RADIUS`` bits differ in some block by no more than that block's share of the radius (the shares and one for each block
+but the first add up to the radius), so a query looks up every value of a block within its share. Every pair within the radius
+meets in a table, once in each, and counts only in the first in which it meets.
 Only distinct fingerprints enter the tables, with the number of their documents.
 """
 
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from martlet.llm.shared import stored
 
 BITS = 64
-RADIUS = 3
-BLOCKS = 6
+RADIUS = 10
+BLOCKS = 4
 
 
 def words(text: Column) -> Column:
@@ -66,28 +67,34 @@ def as_text(fingerprint: Column) -> Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
 
 
-def block_masks() -> list[int]:
-    """The masks of the tables: all choices of BLOCKS - RADIUS blocks."""
+def block_masks() -> list[tuple[int, int]]:
+    """The bits of each block, and its share of the radius."""
     borders = [BITS * i // BLOCKS for i in range(BLOCKS + 1)]
-    blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(borders, borders[1:])]
-    return [sum(c) for c in combinations(blocks, BLOCKS - RADIUS)]
+    shares = [(RADIUS + 1 + i) // BLOCKS - 1 for i in range(BLOCKS)]
+    return [(((1 << b) - 1) ^ ((1 << a) - 1), share) for a, b, share in zip(borders, borders[1:], shares)]
 
 
 def within_radius(queries: DataFrame, index: DataFrame) -> DataFrame:
     """(query, fingerprint, distance) of all pairs of the two frames' distinct fingerprints within the radius."""
-    masks = [_signed(m) for m in block_masks()]
-
-    def tables(frame: DataFrame, name: str) -> DataFrame:
-        rows = F.array(*[F.struct(F.lit(i).alias("t"), F.col("f").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(masks)])
-        return frame.select(F.col("fingerprint").alias("f")).filter("f IS NOT NULL").distinct().select(
-            F.col("f").alias(name), F.inline(rows).alias(f"t{name}", f"k{name}")
-        )
+    blocks = block_masks()
+    flips = [
+        (i, _signed(mask), _signed(sum(1 << b for b in c)))
+        for i, (mask, share) in enumerate(blocks)
+        for k in range(share + 1)
+        for c in combinations([b for b in range(BITS) if mask >> b & 1], k)
+    ]
+
+    def tables(frame: DataFrame, name: str, changes: list[tuple[int, int, int]]) -> DataFrame:
+        rows = F.array(*[F.struct(F.lit(i).alias("t"), F.lit(m).alias("m"), F.lit(x).alias("x")) for i, m, x in changes])
+        rows = frame.select(F.col("fingerprint").alias("f")).filter("f IS NOT NULL").distinct().select("f", F.inline(rows).alias("t", "m", "c"))
+        return rows.select(F.col("f").alias(name), F.col("t").alias(f"t{name}"), F.col("f").bitwiseAND(F.col("m")).bitwiseXOR(F.col("c")).alias(f"k{name}"))
 
     differs = F.col("q").bitwiseXOR(F.col("x"))
-    first = F.coalesce(*[F.when(differs.bitwiseAND(F.lit(m)) == 0, i) for i, m in enumerate(masks)])
+    first = F.coalesce(*[F.when(F.bit_count(differs.bitwiseAND(F.lit(_signed(m)))) <= share, i) for i, (m, share) in enumerate(blocks)])
     meet = (F.col("tq") == F.col("tx")) & (F.col("kq") == F.col("kx"))
     meet = meet & (F.bit_count(differs) <= RADIUS) & (first == F.col("tq"))
-    pairs = tables(queries, "q").join(tables(index, "x").hint("merge"), meet)
+    plain = [(i, _signed(m), 0) for i, (m, _) in enumerate(blocks)]
+    pairs = tables(queries, "q", flips).join(tables(index, "x", plain).hint("merge"), meet)
     return pairs.select(F.col("q").alias("query"), F.col("x").alias("fingerprint"), F.bit_count(differs).alias("distance"))
 
 
@@ -128,12 +135,19 @@ def neighbours(documents: DataFrame) -> DataFrame:
 
 
 def compare_edits(docs: DataFrame, query_divisor: int = 20) -> DataFrame:
-    """One row per document with the fingerprints of its text and of its edited text.
+    """``compare_and_link`` without the fingerprints found."""
+    return compare_and_link(docs, query_divisor).drop("within_radius")
+
 
-    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and
-    n_within_radius. The edited text has its last n_chars // 3 characters replaced by the first as many (or
+def compare_and_link(docs: DataFrame, query_divisor: int = 20) -> DataFrame:
+    """One row per document with the fingerprints of its text and of its edited text, and those within the radius.
+
+    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    n_within_radius and within_radius. The edited text has its last n_chars // 3 characters replaced by the first as many (or
     all) of the next document's by descending doc_id, after the last the first's. near_* are shares of equal bits. n_within_radius is set where
     doc_id is divisible by ``query_divisor``: the number of documents, itself included, whose fingerprint lies within the radius of its own.
+    within_radius, set for the same rows, lists these fingerprints as "fingerprint:distance" by distance, separated by commas; the column
+    fingerprint gives the documents of each.
 
     Null texts count as empty; a null doc_id comes last. Repeated rows all stay, with equal results; where
     rows share a doc_id and differ in text, the next document is taken to have the smallest prefix and the smallest fingerprint of
@@ -177,7 +191,10 @@ def compare_edits(docs: DataFrame, query_divisor: int = 20) -> DataFrame:
     classes = prints.groupBy(F.col("f").alias("fingerprint")).agg(F.sum("copies").alias("documents"))
     pairs = within_radius(prints.filter(asked).select(F.col("f").alias("fingerprint")), classes)
     near = (
-        pairs.join(classes.hint("merge"), "fingerprint").groupBy(F.col("query").alias("asked")).agg(F.sum("documents").alias("n_within_radius"))
+        pairs.join(classes.hint("merge"), "fingerprint").groupBy(F.col("query").alias("asked")).agg(
+            F.sum("documents").alias("n_within_radius"),
+            F.sort_array(F.collect_list(F.struct("distance", as_text(F.col("fingerprint")).alias("print")))).alias("found"),
+        )
     )
     joined = prints.join(nexts.hint("merge"), F.col("key") == F.col("k"))
     joined = joined.join(near.hint("merge"), F.col("f") == F.col("asked"), "left")
@@ -190,4 +207,5 @@ def compare_edits(docs: DataFrame, query_divisor: int = 20) -> DataFrame:
         likeness(F.col("f"), F.col("e")).alias("near_edited"),
         likeness(F.col("f"), F.col("nf")).alias("near_next"),
         F.when(asked, F.col("n_within_radius")).alias("n_within_radius"),
+        F.when(asked, F.array_join(F.transform("found", lambda x: F.concat_ws(":", x["print"], x["distance"])), ",")).alias("within_radius"),
     )
