@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import license_rules, line_templates, mixing, ngram_join, repetition, sentencepiece_sampling, simhash, url_rules, warc_store, window_dedup
+from martlet.llm import (
+    chat_format,
+    license_rules,
+    line_templates,
+    merkle_manifest,
+    mixing,
+    ngram_join,
+    periodic_runs,
+    repetition,
+    sentencepiece_sampling,
+    simhash,
+    url_rules,
+    warc_store,
+    window_dedup,
+)
 from martlet.session import scratch_dir
 
 
@@ -56,6 +70,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = chat_format.with_marked_conversation(_table(spark, sf_dir, "conversations"))
+    return chat_format.conversation_digests(chat_format.format_records(chat_format.pack_records(conversations)))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(merkle_manifest.document_leaves(_table(spark, sf_dir, "documents"), tamper=True))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.find_runs(periodic_runs.plant_periods(_table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_gumbel": op1_sentencepiece_gumbel,
     "op2_warc_archive": op2_warc_archive,
@@ -67,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_repetition_quality": op9_repetition_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_chat_format": op11_chat_format,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
@@ -74,4 +104,6 @@ ORACLE: dict[str, str] = {
     "op4_mixture_budget": mixing.ORACLE,
     "op6_url_filter": url_rules.ORACLE,
     "op9_repetition_quality": repetition.ORACLE,
+    "op11_chat_format": chat_format.ORACLE,
+    "op12_merkle_manifest": merkle_manifest.ORACLE,
 }

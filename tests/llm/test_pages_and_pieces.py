@@ -150,7 +150,7 @@ def test_texts_decode_to_themselves(spark):
 def test_every_query_is_registered():
     from __spark_entry__ import oracle_sql, queries
 
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
