@@ -105,7 +105,7 @@ def test_odd_conversations(spark):
 
 def test_chats_equal_sql_and_use_all_layouts(spark, tables):
     assert same(op11_chat_format(spark, SF_DIR), chat_format.ORACLE, tables)
-    packed = chat_format.pack_records(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet"))
+    packed = chat_format.pack_records(spark.read.parquet("/root/testdata/sf0.1/conversations.parquet"))
     used = {r.layout for r in chat_format.format_records(packed).select("layout").distinct().collect()}
     assert used == {x.name for x in chat_format.LAYOUTS}
 
