@@ -149,7 +149,7 @@ class Lattice:
     piece: np.ndarray  # id of each edge, -1 for the bytes of a character
     upto: np.ndarray  # probability of this and earlier edges of the node
     log_p: np.ndarray  # of each edge, given its node
-    paths: np.ndarray  # number of segmentations of each chunk, as a float
+    others: np.ndarray  # probability of the node's other edges, a sum of theirs and so exact where it is tiny
 
 
 def _lattice(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, m: _Matcher) -> Lattice:
@@ -190,8 +190,8 @@ def _lattice(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, m: _Matche
     score = np.where(piece >= 0, m.scores[piece], 0.0)
     score[fill[lone]] = n_bytes * m.scores[m.byte_ids[0]]
 
-    # from the ends of the chunks backwards: total of all continuations of each node, and their number
-    total, paths = np.zeros(n + 1), np.ones(n + 1)
+    # from the ends of the chunks backwards: total of all continuations of each node
+    total = np.zeros(n + 1)
     order = np.argsort(left.astype(np.uint16) if n and left.max() < 65536 else left, kind="stable")
     sizes = np.bincount(left, minlength=1) if n else np.zeros(1, int)
     value = np.empty(len(score))
@@ -202,7 +202,7 @@ def _lattice(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, m: _Matche
         done += sizes[d]
         if not len(nodes):
             continue
-        best, ways = np.full(len(nodes), -np.inf), np.zeros(len(nodes))
+        best = np.full(len(nodes), -np.inf)
         deg = degree[nodes]
         for r in range(int(deg.max())):
             has = np.flatnonzero(deg > r)
@@ -212,16 +212,24 @@ def _lattice(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, m: _Matche
             v = score[e] + np.where(inner, total[to], 0.0)
             value[e] = v
             best[has] = np.logaddexp(best[has], v)
-            ways[has] += np.where(inner, paths[to], 1.0)
-        total[nodes], paths[nodes] = best, ways
+        total[nodes] = best
     log_p = value - np.repeat(total[:-1], degree)
     p = np.exp(log_p)
-    upto = p.copy()
-    for r in range(1, int(degree.max()) if n else 0):
+    upto, after = p.copy(), p.copy()
+    most = int(degree.max()) if n else 0
+    for r in range(1, most):
         e = first[:-1][degree > r] + r
         upto[e] += upto[e - 1]
+    for r in range(most - 2, -1, -1):
+        e = first[:-1][degree > r + 1] + r
+        after[e] += after[e + 1]
+    inside = np.ones(len(p), bool)
+    inside[first[:-1]] = False
+    others = np.zeros(len(p))
+    others[1:] = np.where(inside[1:], upto[:-1], 0.0)
+    others[:-1] += np.where(inside[1:], after[1:], 0.0)
     upto[first[1:] - 1] = np.inf  # the last edge takes the rest, also of rounding
-    return Lattice(chars, starts, ends, first[:-1], degree, length, piece, upto, log_p, paths[starts])
+    return Lattice(chars, starts, ends, first[:-1], degree, length, piece, upto, log_p, others)
 
 
 def _uniform(*parts) -> np.ndarray:
@@ -233,9 +241,9 @@ def _uniform(*parts) -> np.ndarray:
 
 
 def _draw(lat: Lattice, chunk: np.ndarray, key: np.ndarray, place: np.ndarray, draw: np.ndarray):
-    """A segmentation of each chunk: (edges, owners, log_p, signature); the edges of one owner follow in order of rounds."""
+    """A segmentation of each chunk: (edges and owners by round, log_p, rest); rest is the probability of the chunk's other segmentations."""
     at, end = lat.starts[chunk].copy(), lat.ends[chunk]
-    log_p, sign = np.zeros(len(chunk)), np.zeros(len(chunk), np.uint64)
+    log_p, rest = np.zeros(len(chunk)), np.zeros(len(chunk))
     owners = np.arange(len(chunk))
     base = mix(np.asarray(key, np.uint64) ^ mix(np.asarray(place, np.uint64) * np.uint64(2) + np.uint64(1)) ^ mix(np.asarray(draw, np.uint64) ^ _GROUP))
     rounds, step = [], 0
@@ -248,12 +256,12 @@ def _draw(lat: Lattice, chunk: np.ndarray, key: np.ndarray, place: np.ndarray, d
             e[open_] += 1
             open_ = open_[lat.upto[e[open_]] <= u[open_]]
         rounds.append((e, owners))
+        rest[owners] += np.exp(log_p[owners]) * lat.others[e]
         log_p[owners] += lat.log_p[e]
         at[owners] = nodes + lat.length[e]
-        sign[owners] = sign[owners] * _GROUP + lat.length[e].astype(np.uint64)
         owners = owners[at[owners] < end[owners]]
         step += 1
-    return rounds, log_p, sign
+    return rounds, log_p, rest
 
 
 def _flat(rounds: list, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -290,30 +298,75 @@ def _gumbel(location: np.ndarray, u: np.ndarray, below: np.ndarray) -> np.ndarra
         return np.where(np.isneginf(location), -np.inf, location - np.log(rest))
 
 
-def _every_segmentation(lat: Lattice, chunk: int) -> Iterator[list[int]]:
-    """The edges of each segmentation of a chunk."""
-    end, stack = int(lat.ends[chunk]), [(int(lat.starts[chunk]), [])]
-    while stack:
-        node, path = stack.pop()
-        if node == end:
-            yield path
-            continue
-        for e in range(int(lat.first[node]), int(lat.first[node] + lat.degree[node])):
-            stack.append((node + int(lat.length[e]), [*path, e]))
+class _Used:
+    """The prefix tree of some segmentations of a chunk, with what probability they leave at each of its nodes.
+
+    What is left of a node is the sum of its unused edges and of what is left below its used ones: nothing is
+    subtracted, so it is exact where the used ones have nearly all, and zero where they are all there is.
+    The work is linear in the characters of the chunk.
+    """
+
+    def __init__(self, lat: Lattice, chunk: int, used: list[list[int]]):
+        self.lat = lat
+        self.start, self.end = int(lat.starts[chunk]), int(lat.ends[chunk])
+        self.first = lat.first[self.start : self.end].tolist()
+        low, high = self.first[0], self.first[-1] + int(lat.degree[self.end - 1])
+        self.low = low
+        self.length, self.log_p = lat.length[low:high].tolist(), lat.log_p[low:high].tolist()
+        self.p = np.exp(lat.log_p[low:high]).tolist()
+        self.children: list[dict[int, int]] = [{}]
+        self.at = [self.start]
+        for path in used:
+            node = 0
+            for e in path:
+                if e not in self.children[node]:
+                    self.children[node][e] = len(self.children)
+                    self.children.append({})
+                    self.at.append(self.at[node] + self.length[e - low])
+                node = self.children[node][e]
+        self.left = [0.0] * len(self.children)
+        for node in range(len(self.children) - 1, -1, -1):
+            if self.at[node] < self.end:
+                self.left[node] = sum(self._weights(node))
+
+    def _edges(self, at: int) -> range:
+        i = at - self.start
+        return range(self.first[i], self.first[i + 1] if i + 1 < len(self.first) else self.low + len(self.length))
+
+    def _weights(self, node: int) -> list[float]:
+        used = self.children[node]
+        return [self.p[e - self.low] * (self.left[used[e]] if e in used else 1.0) for e in self._edges(self.at[node])]
+
+    def draw(self, u: list[float]) -> tuple[list[int], float]:
+        """A segmentation that is not used, with the odds of what is left, and its log-probability; u has a number for each character."""
+        path: list[int] = []
+        at, node = self.start, 0
+        while at < self.end:
+            edges = self._edges(at)
+            weights = self._weights(node) if node >= 0 else [self.p[e - self.low] for e in edges]
+            x, chosen = u[len(path)] * sum(weights), -1
+            for e, w in zip(edges, weights):
+                if w > 0:
+                    chosen = e
+                    if x < w:
+                        break
+                    x -= w
+            path.append(chosen)
+            at += self.length[chosen - self.low]
+            node = self.children[node].get(chosen, -1) if node >= 0 else -1
+        return path, sum(self.log_p[e - self.low] for e in path)
 
 
 @dataclass
 class _Path:
-    """One segmentation of every text: per chunk its log-probability, signature and edges."""
+    """One segmentation of every text: per chunk its log-probability and edges."""
 
     log_p: np.ndarray
-    sign: np.ndarray
     borders: np.ndarray
     edges: np.ndarray
     value: np.ndarray  # per chunk, of the subtree that leaves this path there
     before: np.ndarray  # per chunk, log-probability of what precedes it in its text
-    used: np.ndarray  # per chunk, probability of the choices that subtree has lost
-    n_used: np.ndarray
+    rest: np.ndarray  # per chunk, probability of the choices that subtree still has
 
 
 @dataclass
@@ -362,49 +415,29 @@ class _Search:
 
     def _subtrees(self, path: _Path, which: np.ndarray, draw: int, below: np.ndarray) -> None:
         """Draws the values of the subtrees that leave the path at these chunks."""
-        left = np.maximum(1 - path.used[which], 1e-15)
-        open_ = path.n_used[which] < self.lat.paths[self.chunk[which]]
-        location = np.where(open_, path.before[which] + np.log(left), -np.inf)
+        with np.errstate(divide="ignore"):
+            location = path.before[which] + np.log(path.rest[which])
         u = _uniform(self.key[which], self.place[which], np.full(len(which), draw))
         path.value[which] = _gumbel(location, u, below)
 
-    def _path(self, rounds, log_p, sign) -> _Path:
+    def _path(self, rounds, log_p, rest) -> _Path:
         borders, edges = _flat(rounds, len(self.chunk))
-        n = len(self.chunk)
-        return _Path(log_p, sign, borders, edges, np.full(n, -np.inf), self._before(log_p), np.exp(log_p), np.ones(n))
+        return _Path(log_p, borders, edges, np.full(len(self.chunk), -np.inf), self._before(log_p), rest)
 
     def _other_choice(self, at: np.ndarray, paths: list[_Path], j: np.ndarray, lost: dict, turn: int):
-        """Choices at these chunks that their subtrees still have: (rounds, log_p, sign)."""
-        n = len(at)
-        chosen: list[list[int]] = [[] for _ in range(n)]
-        log_p, sign = np.zeros(n), np.zeros(n, np.uint64)
-        gone = [{int(paths[a].sign[t]), *lost.get((int(a), int(t)), ())} for a, t in zip(j, at)]
-        open_ = np.arange(n)
-        for attempt in range(64):
-            if not len(open_):
-                break
-            t = at[open_]
-            rounds, lp, sg = _draw(self.lat, self.chunk[t], self.key[t], self.place[t], np.full(len(t), (turn << 20) + attempt + 1))
-            new = np.array([int(s) not in gone[i] for s, i in zip(sg, open_)])
-            borders, edges = _flat(rounds, len(t))
-            for x in np.flatnonzero(new):
-                i = open_[x]
-                chosen[i], log_p[i], sign[i] = edges[borders[x] : borders[x + 1]].tolist(), lp[x], sg[x]
-            open_ = open_[~new]
-        for i in open_:
-            # hardly any probability is left: list the segmentations
-            options = []
-            for path in _every_segmentation(self.lat, int(self.chunk[at[i]])):
-                sg = 0
-                for e in path:
-                    sg = (sg * int(_GROUP) + int(self.lat.length[e])) % (1 << 64)
-                if sg not in gone[i]:
-                    options.append((float(self.lat.log_p[path].sum()), sg, path))
-            options.sort(key=lambda o: (-o[0], o[1]))
-            weights = np.cumsum(np.exp(np.array([o[0] for o in options]) - options[0][0]))
-            u = _uniform(self.key[at[i : i + 1]], self.place[at[i : i + 1]], np.array([(turn << 20) + 65]))[0]
-            log_p[i], sign[i], chosen[i] = options[min(int(np.searchsorted(weights, u * weights[-1], "right")), len(options) - 1)]
-        return chosen, log_p, sign
+        """Choices at these chunks that their subtrees still have, and what these have left then: (edges, log_p, rest)."""
+        size = self.lat.ends[self.chunk[at]] - self.lat.starts[self.chunk[at]]
+        ends = np.cumsum(size)
+        step = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
+        u = _uniform(np.repeat(self.key[at], size), np.repeat(self.place[at], size), np.full(len(step), turn << 20), step)
+        chosen, log_p, rest = [], np.zeros(len(at)), np.zeros(len(at))
+        for i, (a, t) in enumerate(zip(j.tolist(), at.tolist())):
+            own = paths[a].edges[paths[a].borders[t] : paths[a].borders[t + 1]].tolist()
+            gone = [own, *lost.get((a, t), ())]
+            path, log_p[i] = _Used(self.lat, self.chunk[t], gone).draw(u[ends[i] - size[i] : ends[i]].tolist())
+            rest[i] = _Used(self.lat, self.chunk[t], [*gone, path]).left[0]
+            chosen.append(path)
+        return chosen, log_p, rest
 
     def run(self, k: int) -> Samples:
         everything = np.arange(len(self.chunk))
@@ -424,20 +457,21 @@ class _Search:
                 break
             live = np.flatnonzero(value > -np.inf)
             j, at = j[live], at[live]
-            chosen, log_p, sign = self._other_choice(at, paths, j, lost, turn)
+            chosen, log_p, rest = self._other_choice(at, paths, j, lost, turn)
             split = np.full(self.n, np.iinfo(np.int64).max)
             split[live] = at
             source = np.zeros(self.n, np.int64)
             source[live] = j
             after = np.flatnonzero(everything > split[self.text])
-            rounds, fresh_p, fresh_sign = _draw(self.lat, self.chunk[after], self.key[after], self.place[after], np.full(len(after), turn << 20))
+            rounds, fresh_p, fresh_rest = _draw(self.lat, self.chunk[after], self.key[after], self.place[after], np.full(len(after), turn << 20))
             fresh_borders, fresh_edges = _flat(rounds, len(after))
             # each chunk comes from the path that was left, from the other choice, or is fresh
             new_p = np.choose(source[self.text], [p.log_p for p in paths])
-            new_sign = np.choose(source[self.text], [p.sign for p in paths])
             count = np.choose(source[self.text], [np.diff(p.borders) for p in paths])
-            new_p[at], new_sign[at], count[at] = log_p, sign, [len(c) for c in chosen]
-            new_p[after], new_sign[after], count[after] = fresh_p, fresh_sign, np.diff(fresh_borders)
+            new_p[at], count[at] = log_p, [len(c) for c in chosen]
+            new_p[after], count[after] = fresh_p, np.diff(fresh_borders)
+            new_rest = np.zeros(len(everything))
+            new_rest[after] = fresh_rest
             borders = np.concatenate([[0], np.cumsum(count)])
             edges = np.empty(borders[-1], np.int64)
             kind = np.where(everything > split[self.text], -1, source[self.text])
@@ -447,14 +481,13 @@ class _Search:
             _copy(edges, borders, fresh_edges, fresh_borders, after, np.arange(len(after)))
             for t, c in zip(at, chosen):
                 edges[borders[t] : borders[t + 1]] = c
-            path = _Path(new_p, new_sign, borders, edges, np.full(len(everything), -np.inf), self._before(new_p), np.exp(new_p), np.ones(len(everything)))
+            path = _Path(new_p, borders, edges, np.full(len(everything), -np.inf), self._before(new_p), new_rest)
             for a in range(len(paths)):
                 mine = j == a
                 t = at[mine]
-                paths[a].used[t] += np.exp(log_p[mine])
-                paths[a].n_used[t] += 1
-                for x, sg in zip(t, sign[mine]):
-                    lost.setdefault((a, int(x)), []).append(int(sg))
+                paths[a].rest[t] = rest[mine]
+                for x in np.flatnonzero(mine):
+                    lost.setdefault((a, int(at[x])), []).append(chosen[x])
                 self._subtrees(paths[a], t, (turn << 20) + 2 + a, value[live][mine])
             self._subtrees(path, after, turn << 21, value[self.text[after]])
             paths.append(path)

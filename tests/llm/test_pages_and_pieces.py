@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -119,6 +120,47 @@ def test_sampling_without_replacement_has_the_right_odds():
     assert abs(weighed - p[top]) < 0.02
 
 
+@pytest.mark.parametrize("word", ["IllegalArgumentException", "IllegalArgumentExecutionContext", "representativesExecutionContextaddEventListener", "international"])
+def test_long_words_take_milliseconds(word):
+    sentencepiece_sampling.sample_texts([word], np.array([0]), 2, MODEL)
+    began = time.perf_counter()
+    s = sentencepiece_sampling.sample_texts([word] * 40, np.arange(40), 4, MODEL)
+    assert time.perf_counter() - began < 0.4
+    for t in range(40):
+        own = [i for i, x in zip(segmentations(s), s.text) if x == t]
+        assert len(set(own)) == len(own) == 4
+
+
+def every_path(lat, at, end):
+    if at == end:
+        return [(0.0, ())]
+    edges = range(int(lat.first[at]), int(lat.first[at] + lat.degree[at]))
+    return [(float(lat.log_p[e]) + p, (e, *path)) for e in edges for p, path in every_path(lat, at + int(lat.length[e]), end)]
+
+
+@pytest.mark.parametrize("used", [1, 2, 3])
+def test_what_is_left_after_near_certain_choices(used):
+    """Draws beside used choices of nearly all the probability follow the others' own odds, also for one path of over 0.999."""
+    m = sentencepiece_sampling._matcher(MODEL)
+    search = sentencepiece_sampling._Search(["inter"], np.array([1], np.uint64), m)
+    lat = search.lat
+    lat.log_p[lat.first[0]] = 0.0  # one choice of the first node has all but some 1e-18
+    lat.log_p[lat.first[0] + 1 : lat.first[0] + lat.degree[0]] = np.log(np.arange(1, lat.degree[0]) * 1e-18)
+    paths = sorted(every_path(lat, 0, 6), reverse=True)
+    assert len(paths) > used + 8
+    gone = [list(p) for _, p in paths[:used]]
+    tree = sentencepiece_sampling._Used(lat, 0, gone)
+    odds = {p: np.exp(x) for x, p in paths[used:]}
+    total = sum(odds.values())
+    assert abs(tree.left[0] / total - 1) < 1e-9
+    rng = np.random.default_rng(used)
+    n = 20_000
+    drawn = Counter(tuple(tree.draw(rng.random(6).tolist())[0]) for _ in range(n))
+    assert set(drawn) <= set(odds)
+    assert all(abs(drawn[p] / n - q / total) < 0.015 for p, q in odds.items())
+    assert sentencepiece_sampling._Used(lat, 0, [list(p) for _, p in paths]).left[0] == 0
+
+
 def test_few_segmentations_are_all_drawn():
     s = sentencepiece_sampling.sample_texts(["", "a", "xa"], np.array([1, 2, 3]), 50, MODEL)
     ids = segmentations(s)
