@@ -9,7 +9,7 @@ A space in a pattern or keyword stands for any run of white space, and ``.`` for
 therefore works on texts with each run folded to one space, so line breaks and indents hide nothing; places and
 copies are those of the folded texts. The base phrases and word counts are not affected.
 
-A text is scanned only if it holds one of the gate words, and a signature is tried only if the text
+A text is scanned only if it holds one of the gate words (looked for as plain substrings first, then as the gate's expression), and a signature is tried only if the text
 holds its keyword. A detection is suppressed if its interval lies within that of a detection of higher
 priority, or of the same priority and longer, or with the same interval and an earlier signature. The
 labels are those of the detections left, together with those of the base phrases.
@@ -24,6 +24,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlet.llm.shared import ascii_lower, stored
+
 PHRASES = {
     "apache": "apache license",
     "cc-by": "cc by",
@@ -123,6 +125,27 @@ GATE_PATTERN = (
 )
 
 
+#: Every text that the gate's expression matches holds one of these, whatever its white space is.
+GATE_WORDS = (
+    "licen", "under", "bsd", "gpl", "cecill", "eupl", "zlib", "wtfpl", "mit-0", "attr", ".org", "rail", "domain", "reserved", "vorbehalten",
+    "droits", "derechos", "permission", "redistribution", "neither", "advertising", "altered", "perl", "good", "invariant", "mozilla",
+    "proprietary", "purposes", "non-commercial", "personal", "ofl",
+)
+
+
+def gated(lower: Column) -> Column:
+    """Whether a lower-cased text may hold a signature: plain searches first, the folded text and the expression only for what they leave."""
+    some = F.contains(lower, F.lit("cc")) & lower.rlike(r"\bcc[0\s\p{Z}\x85\x1C-\x1F-]")
+    for word in GATE_WORDS:
+        some = some | F.contains(lower, F.lit(word))
+    return some & folded(lower).rlike(GATE_PATTERN)
+
+
+def lowered(text: Column) -> Column:
+    """A-Z in lower case; also other letters, but for those that would become ASCII ones."""
+    return F.when(F.contains(text, F.lit("\u212a")) | F.contains(text, F.lit("\u0130")), ascii_lower(text)).otherwise(F.lower(text))
+
+
 def word_text(lower: Column) -> Column:
     """The words joined and enclosed by one space each; one space if there are none."""
     inner = F.trim(F.regexp_replace(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
@@ -180,19 +203,17 @@ def scan(docs: DataFrame) -> DataFrame:
     found (a base phrase weighs 0.9), 0 without any. Texts that pass the gate are scanned once per distinct
     text (by SHA-256), so a group of copies costs as much as one text.
     """
-    lower = F.lower(F.coalesce("text", F.lit("")))
-    asked = docs.select("doc_id", lower.alias("lower"), folded(lower).alias("folded"))
+    asked = docs.select("doc_id", lowered(F.coalesce("text", F.lit(""))).alias("lower"))
     words = F.regexp_count("lower", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")).cast("long")
-    gated = F.col("folded").rlike(GATE_PATTERN)
     any_phrase = "(?:" + "|".join(PHRASES.values()) + ")(?= )"
-    base_gate = F.contains(F.col("lower"), F.lit("license")) | F.col("lower").rlike(r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by")
+    by = F.contains(F.col("lower"), F.lit("cc")) & F.col("lower").rlike(r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by")
+    base_gate = F.contains(F.col("lower"), F.lit("license")) | by
     spaces = lambda s: (F.char_length(s) - F.char_length(F.replace(s, F.lit(" "), F.lit("")))).cast("long")
     row = asked.select(
         "doc_id",
         words.alias("n_words"),
         F.when(base_gate, word_text(F.col("lower"))).alias("_norm"),
-        # other texts get keys that meet nothing, so that they don't all go to one task of the join below
-        F.when(gated, F.sha2("folded", 256)).otherwise(F.xxhash64("lower", "doc_id").cast("string")).alias("_key"),
+        F.when(gated(F.col("lower")), folded(F.col("lower"))).alias("_folded"),
     ).withColumn("n_base", F.coalesce(F.regexp_count("_norm", F.lit(" " + any_phrase)), F.lit(0)).cast("long"))
     found = F.col("n_base") > 0
     row = row.select(
@@ -205,15 +226,22 @@ def scan(docs: DataFrame) -> DataFrame:
             F.array(*[F.when(F.contains(F.col("_norm"), F.lit(f" {phrase} ")), F.lit(label)) for label, phrase in PHRASES.items()]),
             lambda x: x.isNotNull(),
         ).alias("_base"),
-        "_key",
+        F.sha2("_folded", 256).alias("_key"),
+        "_folded",
     )
-    texts = asked.filter(gated).select(F.sha2("folded", 256).alias("text_key"), F.col("folded").alias("lower")).dropDuplicates(["text_key"])
+    # all texts are read once; what is written of them holds the text only of those that pass the gate
+    row = stored(row, "license-rows")
+    texts = row.filter("_key IS NOT NULL").select(F.col("_key").alias("text_key"), F.col("_folded").alias("lower")).dropDuplicates(["text_key"])
     per_text = (
         detect(texts)
         .groupBy("text_key")
         .agg(F.collect_set("label").alias("_labels"), F.count(F.lit(1)).alias("_n"), F.max("weight").alias("_weight"))
     )
-    joined = row.join(per_text, F.col("_key") == F.col("text_key"), "left")
+    row = row.drop("_folded")
+    rest = row.filter("_key IS NULL")
+    for f in per_text.schema.fields:
+        rest = rest.withColumn(f.name, F.lit(None).cast(f.dataType))
+    joined = row.filter("_key IS NOT NULL").join(per_text, F.col("_key") == F.col("text_key"), "left").unionByName(rest)
     labels = F.array_sort(F.array_distinct(F.concat("_base", F.coalesce("_labels", F.array().cast("array<string>")))))
     return joined.select(
         "doc_id",

@@ -300,6 +300,8 @@ def test_every_signature_passes_its_gates():
         for text in examples(re._parser.parse(pattern)):
             assert re.search(pattern, text) and keyword.strip() in text, (label, text)
             assert re.search(license_rules.GATE_PATTERN, text), (label, text)
+    for text in examples(re._parser.parse(license_rules.GATE_PATTERN)):
+        assert any(w in text for w in license_rules.GATE_WORDS) or re.search(r"\bcc[0 -]", text), text
 
 
 def test_mixture(docs, rows):
