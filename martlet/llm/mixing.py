@@ -12,7 +12,9 @@
 
 The prefix ends at one value of the order hash per leaf. It is found from token sums over 2**14 ranges
 of the hash, summed before the shuffle, then by sorting the one range per leaf in which it lies, so no task sorts a
-leaf. Documents are never shuffled, only compared with their leaf's end. Tokens are the words ``[^\\x20\\x09-\\x0D]+``.
+leaf. What is needed of each document (its leaf, doc_id and number of tokens) is written once and the plan is made from
+that. Documents are not shuffled but compared with their leaf's end where they are read, as long as there are at most
+``BROADCAST_LEAVES`` leaves; with more, they are joined by leaf. Tokens are the words ``[^\x20\x09-\x0D]+``.
 """
 
 from __future__ import annotations
@@ -20,7 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlet.llm.shared import stored
+
 SEED = 17
+BROADCAST_LEAVES = 100_000  # some 10 MB
 MAX_EPOCHS = 3
 LEVELS = ("domain", "lang", "source")
 RANGE_SHIFT = 46  # of the 60 bits of the order hash: 2**14 ranges
@@ -147,10 +152,12 @@ def planned(
     more than it has. A leaf without tokens, and an empty table, take nothing.
     """
     keyed = docs.withColumn("leaf", node_key(3))
-    slim = keyed.select("leaf", *LEVELS, "doc_id", "n_tokens")
+    slim = stored(keyed.select("leaf", *LEVELS, "doc_id", "n_tokens"), "mixture-tokens")
     leaves = slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("available"))
     plan = leaf_budgets(leaves, WEIGHTS if weights is None else weights, budget_percent, max_epochs)
-    ends = _prefix_ends(slim, plan, seed)
+    ends = stored(_prefix_ends(slim, plan, seed), "mixture-ends")
+    if ends.count() <= BROADCAST_LEAVES:
+        ends = F.broadcast(ends)
     joined = keyed.join(ends, F.col("leaf") == F.col("goal_leaf"), "left")
     h = order_hash(seed, F.col("epochs"), F.col("doc_id"))
     taken = F.when(F.col("end_hash").isNull(), F.lit(0)).when(h < F.col("end_hash"), F.col("n_tokens"))
