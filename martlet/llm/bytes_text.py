@@ -28,12 +28,16 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 ... base**n modulo 2**64, kept for the next call."""
-    if base not in _powers or len(_powers[base]) <= n:
-        steps = np.full(max(n + 1, 2 * PIECE_BYTES), base, np.uint64)
-        steps[0] = 1
-        _powers[base] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[base]
+    """base**0 ... base**n modulo 2**64; what a usual piece needs is kept for the next call, more is not."""
+    if base in _powers and len(_powers[base]) > n:
+        return _powers[base]
+    usual = PIECE_BYTES + (PIECE_BYTES >> 4)
+    steps = np.full(max(n, usual) + 1, base, np.uint64)
+    steps[0] = 1
+    powers = np.cumprod(steps, dtype=np.uint64)
+    if n <= usual:
+        _powers[base] = powers
+    return powers
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -34,7 +34,7 @@ from martlet.llm.bytes_text import mix, prefix_sums, span_hashes
 SAMPLES = 2
 SEED = 29
 OFFSET = 2.7
-PIECE_CHARS = 1_500_000
+PIECE_CHARS = 400_000  # some 60 MB in a task
 _SPACE = 0x2581
 _LITERAL = 0x110000  # stands for a U+2581 of the text
 _GROUP = np.uint64(0x9E3779B97F4A7C15)
