@@ -167,6 +167,44 @@ SELECT {grained('month', 'date')} AS metric_time, channel_group, {isum('sessions
   {div(isum('engaged_sessions'), isum('sessions'))} AS engagement_rate
 FROM stg_ga4_sessions WHERE device_category <> 'tablet' GROUP BY 1, 2"""
 
+_M = grained("month", "date")
+Q["metric_subtotals"] = f"""
+SELECT metric_time, channel_group, device_category, level, total_sessions, {div('engaged', 'total_sessions')} AS engagement_rate
+FROM (SELECT {_M} AS metric_time, channel_group, device_category, GROUPING({_M}, channel_group, device_category) AS level,
+    {isum('sessions')} AS total_sessions, {isum('engaged_sessions')} AS engaged
+  FROM stg_ga4_sessions
+  GROUP BY GROUPING SETS (({_M}, channel_group, device_category), ({_M}, channel_group), ({_M}), ()))"""
+Q["metric_cube"] = f"""
+SELECT source, stage, lead_source, GROUPING(source, stage, lead_source) AS level, COUNT(DISTINCT deal_id) AS total_deals,
+  {money('amount')} AS total_pipeline_value,
+  {div(n_if("LOWER(REPLACE(stage, ' ', '_')) = 'closed_won'"), n_if("LOWER(stage) LIKE 'closed%'"))} AS win_rate
+FROM crm_pipeline
+GROUP BY GROUPING SETS ((source, stage, lead_source), (source, stage), (source, lead_source), (stage, lead_source), (source), (stage), (lead_source), ())"""
+
+# Time
+Q["deal_stage_at_touch"] = """
+SELECT h.event_id, h.customer_id, h.ts, d.deal_id, d.deal_stage
+FROM hits h ASOF LEFT JOIN (
+  SELECT c.customer_unique_id AS customer_id, o.order_purchase_timestamp AS at, MAX(d.deal_id) AS deal_id, ARG_MAX(d.deal_stage, d.deal_id) AS deal_stage
+  FROM stg_hubspot_deals d JOIN stg_orders o USING (order_id) JOIN stg_customers c ON c.customer_id = o.customer_id
+  WHERE o.order_purchase_timestamp IS NOT NULL GROUP BY 1, 2
+) d ON h.customer_id = d.customer_id AND h.ts >= d.at"""
+Q["touch_sessions"] = """
+SELECT customer_id, MIN(ts) AS session_start, MAX(ts) AS session_end, COUNT(*) AS events, COUNT(*) FILTER (WHERE event_type = 'click') AS clicks
+FROM (
+  SELECT *, SUM(opens) OVER (PARTITION BY customer_id ORDER BY ts, event_id) AS session FROM (
+    SELECT *, CASE WHEN ts <= LAG(ts) OVER (PARTITION BY customer_id ORDER BY ts, event_id) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM hits))
+GROUP BY customer_id, session"""
+Q["touch_sessions_stream"] = Q["touch_sessions"]
+Q["traffic_windows_stream"] = f"""
+SELECT CAST(window_start AS DATE) AS window_day, window_start, channel, COUNT(*) AS events, COUNT(*) FILTER (WHERE event_type = 'click') AS clicks,
+  COALESCE(CAST(SUM(CASE WHEN event_type = 'purchase' THEN ROUND(value * 100) END) AS BIGINT), 0) / 1e2 AS purchase_value
+FROM (
+  SELECT *, DATE_TRUNC('hour', ts) AS window_start FROM hits WHERE event_id % 50 <> 0
+  UNION ALL SELECT *, DATE_TRUNC('hour', ts) - INTERVAL 1 HOUR FROM hits WHERE event_id % 50 <> 0)
+GROUP BY 1, 2, 3"""
+Q["late_events_stream"] = "SELECT channel, COUNT(*) AS late_events FROM hits WHERE event_id % 50 = 0 GROUP BY 1"
+
 # Platform tools
 Q["google_campaign_performance"] = f"""
 SELECT *, {div('clicks', 'impressions')} AS ctr, {div('cost', 'clicks')} AS cpc, {div('conversions', 'clicks')} AS cvr

@@ -26,7 +26,7 @@ from martlet.operators.staging import (
     stg_hubspot_deals,
     stg_marketing_attribution,
     stg_meta_ads_performance,
-    stg_order_items,
+    order_lines,
     stg_order_reviews,
     stg_orders,
     stg_products,
@@ -38,7 +38,7 @@ from martlet.sources.registry import Sources
 
 def _item_totals(src: Sources) -> DataFrame:
     return (
-        src.model(stg_order_items)
+        src.model(order_lines)
         .groupBy("order_id")
         .agg(
             F.count(F.lit(1)).alias("item_count"),
@@ -365,7 +365,7 @@ def dim_customers(src: Sources) -> DataFrame:
 
 def dim_products(src: Sources) -> DataFrame:
     """Products with units sold, revenue, mean price and the mean score of their orders' reviews."""
-    items = src.model(stg_order_items)
+    items = src.model(order_lines)
     sales = items.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("total_units_sold"),
         money_sum("price").alias("total_revenue"),

@@ -34,7 +34,7 @@ from martlet.operators.staging import (
     stg_google_ads_performance,
     stg_hubspot_deals,
     stg_meta_ads_performance,
-    stg_order_items,
+    order_lines,
     stg_order_payments,
     stg_order_reviews,
     stg_orders,
@@ -103,7 +103,7 @@ def top_categories(src: Sources, start=None, end=None, n: int = 15) -> DataFrame
     """
     delivered = _orders_between(src, start, end).filter(F.col("order_status") == "delivered")
     folded = (
-        src.model(stg_order_items)
+        src.model(order_lines)
         .join(delivered.select("order_id"), "order_id")
         .groupBy("order_id", "product_id")
         .agg(F.sum("price").alias("price"))

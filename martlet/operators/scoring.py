@@ -137,8 +137,12 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     by_score = scored.groupBy("_score").agg(
         of(was).alias("_won"), of(~was).alias("_lost"), of(said & was).alias("_tp"), of(said & ~was).alias("_fp")
     )
-    below = Window.partitionBy(F.lit(0)).orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = by_score.withColumn("_below", F.coalesce(F.sum("_lost").over(below), F.lit(0)))
+    # what lies below a score: whole ranges of a thousandth (a row each, so a bounded list), and the scores of its own range
+    by_score = by_score.withColumn("_range", F.floor(F.col("_score") * 1000))
+    ranges = by_score.groupBy("_range").agg(F.sum("_lost").alias("lost")).agg(F.collect_list(F.struct("_range", "lost"))).scalar()
+    lower = F.aggregate(F.filter("_ranges", lambda x: x["_range"] < F.col("_range")), F.lit(0).cast("long"), lambda n, x: n + x["lost"])
+    below = Window.partitionBy("_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = by_score.withColumn("_ranges", ranges).withColumn("_below", lower + F.coalesce(F.sum("_lost").over(below), F.lit(0)))
     won, lost, tp, fp = (F.sum(c) for c in ("_won", "_lost", "_tp", "_fp"))
     # pairs of a won and a lost lead in the right order, ties counting half
     right = F.sum(F.col("_won") * (2 * F.col("_below") + F.col("_lost")))

@@ -54,8 +54,17 @@ def stg_sellers(src: Sources) -> DataFrame:
 
 
 def stg_order_items(src: Sources) -> DataFrame:
+    return _cleaned_items(src.table("order_items"))
+
+
+def order_lines(src: Sources) -> DataFrame:
+    """``stg_order_items`` for models that don't need the number of an item in its order; it may be missing."""
+    return _cleaned_items(src.unnumbered("order_items"))
+
+
+def _cleaned_items(items: DataFrame) -> DataFrame:
     return (
-        src.table("order_items")
+        items
         .withColumn("total_item_value", F.col("price") + F.col("freight_value"))
         .withColumn("shipping_limit_date", _ts("shipping_limit_date"))
     )

@@ -13,6 +13,7 @@ from martlet.functions import metrics as fm
 from martlet.functions.frames import normalise_attribution
 from martlet.functions.numeric import count_if, half_up, money_sum
 from martlet.operators import builders, insights, panels, platform_tools, quality, scoring
+from martlet.operators.asof import asof_join
 from martlet.operators.intermediate import INTERMEDIATE, int_campaign_unified, observed_spine, spine_filled
 from martlet.operators.marts import (
     MARTS,
@@ -24,11 +25,13 @@ from martlet.operators.marts import (
     fct_orders_positional,
     time_decay_normalised,
 )
+from martlet.operators.sessions import gap_sessions
 from martlet.operators.staging import (
     STAGING,
     stg_customers,
     stg_ga4_sessions,
     stg_google_ads_performance,
+    stg_hubspot_deals,
     stg_marketing_attribution,
     stg_meta_ads_performance,
     stg_order_items,
@@ -40,6 +43,7 @@ from martlet.plans.metrics import pipeline_velocity, query_metric
 from martlet.session import scratch_dir
 from martlet.sources import adapters, io
 from martlet.sources.registry import Sources
+from martlet.streaming import traffic
 from martlet.streaming.routing import route_leads
 
 Query = Callable[[Sources], DataFrame]
@@ -144,7 +148,7 @@ def _raw(src: Sources, *names: str) -> dict[str, DataFrame]:
     return {n: src.table(n) for n in names}
 
 
-SOURCE_TABLES = [n for n in adapters.ADAPTERS if n != "web_events"]
+SOURCE_TABLES = [n for n in adapters.ADAPTERS if n not in ("web_events", "web_hits")]
 
 _add(
     read_source=lambda src: src.table("customers"),
@@ -206,8 +210,86 @@ _add(
         "total_sessions", "engagement_rate", group_by=["channel_group"], grain="month",
         start=FIRST, end=LAST, where="device_category <> 'tablet'",
     ),
+    metric_subtotals=_metric(
+        "total_sessions", "engagement_rate", group_by=["channel_group", "device_category"], grain="month", totals=True
+    ),
+    metric_cube=_metric("total_deals", "total_pipeline_value", "win_rate", group_by=["source", "stage", "lead_source"], totals="cube"),
 )
 
+# Time: as-of joins, sessions, windows
+
+SESSION_GAP = "6 hours"
+
+
+@query
+def deal_stage_at_touch(src: Sources) -> DataFrame:
+    """Each web event with the deal that was its customer's latest by then, and the deal's stage."""
+    deals = (
+        src.model(stg_hubspot_deals)
+        .select("deal_id", "deal_stage", "order_id")
+        .join(src.model(stg_orders).select("order_id", "customer_id", "order_purchase_timestamp"), "order_id")
+        .join(src.model(stg_customers).select("customer_id", F.col("customer_unique_id").alias("person")), "customer_id")
+        .select(F.col("person").alias("customer_id"), F.col("order_purchase_timestamp").alias("at"), "deal_id", "deal_stage")
+    )
+    touches = src.table("web_hits").select("event_id", "customer_id", "ts")
+    return asof_join(touches, deals, ["customer_id"], "ts", "at", ["deal_id", "deal_stage"], "month")
+
+
+@query
+def touch_sessions(src: Sources) -> DataFrame:
+    """Sessions of each customer's web events."""
+    clicks = F.when(F.col("event_type") == "click", 1).otherwise(0)
+    return gap_sessions(src.table("web_hits"), "customer_id", "ts", SESSION_GAP, {"clicks": clicks})
+
+
+def _arriving(src: Sources, inbox: str, late_every: int | None) -> None:
+    """The web events as files in the order in which they arrive; one in ``late_every`` comes three hours late."""
+    soon = F.make_dt_interval(secs=F.col("event_id") % 60)
+    arrived = F.col("ts") + soon
+    if late_every:
+        arrived = F.when(F.col("event_id") % late_every == 0, F.col("ts") + F.expr("INTERVAL 3 HOURS")).otherwise(arrived)
+    hits = src.table("web_hits").drop("props").withColumn("arrived", arrived)
+    # the bounds of the files are single figures
+    ends = hits.agg(F.percentile_approx(F.col("arrived").cast("double"), [0.3, 0.6]).alias("p")).first().p
+    for low, high in zip([None, *(ends or [])], [*(ends or []), None]):
+        at = F.col("arrived").cast("double")
+        part = hits if low is None else hits.filter(at > low)
+        (part if high is None else part.filter(at <= high)).write.mode("append").parquet(inbox)
+
+
+def _windows(src: Sources) -> tuple[DataFrame, DataFrame]:
+    base = scratch_dir(src.spark, "traffic")
+    _arriving(src, f"{base}/inbox", 50)
+    return traffic.run_window_metrics(
+        src.spark, f"{base}/inbox", f"{base}/windows", f"{base}/late", f"{base}/checkpoint", "2 hours", "1 hour", files_per_trigger=4
+    )
+
+
+@query
+def traffic_windows_stream(src: Sources) -> DataFrame:
+    """Sliding windows of the events that came in time, by a stream over files in order of arrival."""
+    return _windows(src)[0]
+
+
+@query
+def late_events_stream(src: Sources) -> DataFrame:
+    """The events that the same stream sets apart, by channel."""
+    return _windows(src)[1].groupBy("channel").agg(F.count(F.lit(1)).alias("late_events"))
+
+
+@query
+def touch_sessions_stream(src: Sources) -> DataFrame:
+    """The sessions of ``touch_sessions`` by a stream; a row without customer, years later, closes the last ones."""
+    base = scratch_dir(src.spark, "sessions")
+    _arriving(src, f"{base}/inbox", None)
+    last = src.spark.read.schema(traffic.HITS).parquet(f"{base}/inbox").agg(F.max("ts").alias("ts"))
+    end = F.col("ts") + F.expr("INTERVAL 1000 DAYS")
+    closing = last.select(end.alias("ts"), end.alias("arrived"))
+    closing.write.mode("append").parquet(f"{base}/inbox")
+    done = traffic.run_sessions(src.spark, f"{base}/inbox", f"{base}/sessions", f"{base}/checkpoint", SESSION_GAP, files_per_trigger=4)
+    return done.drop("day")
+
+
 # Platform tools
 
 _add(

@@ -160,13 +160,20 @@ def query_metric(
     start=None,
     end=None,
     where: str | None = None,
+    totals: str | bool = False,
 ) -> DataFrame:
     """Metrics by dimensions and time grain (``metric_time``).
 
     Each model is filtered on its time column, grouped and aggregated on its own; the small
     results are then merged on the group keys and the derived ratios evaluated. ``where`` is a
     SQL condition on the model's columns.
+
+    With ``totals`` there are subtotals as well: of the leading keys (True or "rollup") or of all subsets ("cube"). ``level`` is then the
+    grouping id: a bit for each key, the first the highest, that is set where the row is a total over that key; so a total is told
+    apart from a group whose key is null. Each model is expanded once for all levels, and ratios are formed of the totals, not summed.
     """
+    if totals not in (False, True, "rollup", "cube"):
+        raise ValueError(f"totals is rollup or cube, not {totals}")
     group_by = list(group_by or [])
     by_model: dict[str, list[str]] = {}
     for part in dict.fromkeys(p for m in metrics for p in _simple_parts(m)):
@@ -189,9 +196,14 @@ def query_metric(
         keys = [F.col(d) for d in group_by]
         if grain:
             keys = [_grain(F.col(model.time), grain).alias("metric_time"), *keys]
-        results.append(df.groupBy(*keys).agg(*[METRICS[p].measure().alias(p) for p in parts]))
-
-    key_names = (["metric_time"] if grain else []) + group_by
+        measures = [METRICS[p].measure().alias(p) for p in parts]
+        if totals:
+            grouped = df.cube(*keys) if totals == "cube" else df.rollup(*keys)
+            results.append(grouped.agg((F.grouping_id() if keys else F.lit(0)).cast("long").alias("level"), *measures))
+        else:
+            results.append(df.groupBy(*keys).agg(*measures))
+
+    key_names = (["metric_time"] if grain else []) + group_by + (["level"] if totals else [])
     merged = merge_on(key_names, results)
     return merged.select(*key_names, *[_evaluate(m).alias(m) for m in metrics])
 

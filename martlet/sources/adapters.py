@@ -158,15 +158,26 @@ def orders(raw: RawTables) -> DataFrame:
     return raw.adapted(_orders).drop("o_orderpriority")
 
 
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate"]
+
+
 def order_items(raw: RawTables) -> DataFrame:
-    order_by = [
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate",
-    ]
-    lines = raw("lineitem").select("l_orderkey", *order_by)
+    lines = raw("lineitem").select("l_orderkey", *LINE_ORDER)
+    # a hundred line numbers to a slice: few slices for an order of few lines, many for a hot one
+    sliced = F.floor(F.col("l_linenumber") / 100)
+    return _as_items(number_rows(lines, "l_orderkey", LINE_ORDER, "order_item_id", slice_by=sliced), "order_item_id")
+
+
+def order_lines(raw: RawTables) -> DataFrame:
+    """``order_items`` without their number within the order, so without the work for it."""
+    return _as_items(raw("lineitem"))
+
+
+def _as_items(lines: DataFrame, *number: str) -> DataFrame:
     price = _thousandth("l_extendedprice")
-    return number_rows(lines, "l_orderkey", order_by, "order_item_id").select(
+    return lines.select(
         F.col("l_orderkey").alias("order_id"),
-        "order_item_id",
+        *number,
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
         _money(price).alias("price"),
@@ -460,6 +471,19 @@ def marketing_attribution(raw: RawTables) -> DataFrame:
     )
 
 
+def web_hits(raw: RawTables) -> DataFrame:
+    """Single web events with their time and attributes, for windows, sessions and as-of joins."""
+    return raw("events").select(
+        "event_id",
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("customer_id"),
+        "event_type",
+        pick(CHANNEL_GROUPS, F.col("event_id") % 7).alias("channel"),
+        (F.col("ts").cast("timestamp") - F.expr(f"INTERVAL {TRAFFIC_DAYS_BACK} DAYS")).alias("ts"),
+        "value",
+        "props",
+    )
+
+
 def web_events(raw: RawTables) -> DataFrame:
     """Single web events of known people (for lead features and touchpoints)."""
     return raw.adapted(_traffic).select(
@@ -479,6 +503,6 @@ ADAPTERS: dict[str, Callable[[RawTables], DataFrame]] = {
         category_translation, google_ads_daily_performance, google_ads_campaigns,
         meta_ads_daily_performance, meta_ads_campaigns, ga4_daily_sessions, hubspot_contacts,
         hubspot_deals, salesforce_opportunities, salesforce_accounts, marketing_attribution,
-        web_events,
+        web_events, web_hits,
     )
 }

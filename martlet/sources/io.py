@@ -40,7 +40,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order_by: list[
 
     The batch may carry columns the target lacks (such as a version to order by); they are
     dropped at the end. ``max_by`` keeps one row per key in the map-side combine, so a key that repeats in the batch
-    never gathers in one task. A target row stays unless its key is in the batch.
+    never gathers in one task. A target row stays unless its key is in the batch; null keys are equal to each other.
     """
     rest = [c for c in batch.columns if c not in keys]
     latest = (
@@ -48,7 +48,9 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order_by: list[
         .agg(F.max_by(F.struct(*rest), F.struct(*order_by)).alias("_row"))
         .select(*keys, "_row.*")
     )
-    kept = target.join(latest.select(*keys), keys, "left_anti")
+    # each key as a pair of itself and whether it is there: a plain equality that null keys meet too
+    whole = lambda name: F.struct(*[F.struct(F.col(k).isNull().alias("no"), F.col(k).alias("k")).alias(k) for k in keys]).alias(name)
+    kept = target.select("*", whole("_key")).join(latest.select(whole("_in")), F.col("_key") == F.col("_in"), "left_anti").drop("_key")
     return kept.unionByName(latest.select(*target.columns))
 
 
@@ -108,12 +110,13 @@ def preview(df: DataFrame, n: int, order_by: list) -> DataFrame:
 
 
 def run_sql(
-    spark: SparkSession, sql: str, tables: dict[str, DataFrame]
+    spark: SparkSession, sql: str, tables: dict[str, DataFrame], check: bool = False
 ) -> tuple[DataFrame | None, str | None]:
     """Ad-hoc read-only SQL over the given tables: (frame, None) or (None, error text).
 
-    The statement runs once to a sink that keeps nothing, so errors of its rows come back as text too. What could
-    leave the engine (scripts, calls of Java methods) is refused by the analysed plan, whatever the text looks like.
+    The frame is lazy; what is wrong with the statement itself comes back at once. With ``check`` it also runs once to a sink that keeps
+    nothing, so that errors of its rows come back as text too. What could leave the engine (scripts, calls of Java methods) is
+    refused by the analysed plan, whatever the text looks like.
     """
     if not re.match(r"(?is)^\s*(select|with)\b", sql):
         return None, "only SELECT or WITH statements are allowed"
@@ -128,7 +131,8 @@ def run_sql(
         plan = frame._jdf.queryExecution().analyzed().toString()
         if re.search(r"(?i)ScriptTransformation|\b(try_)?reflect\(|\bjava_method\(|CallMethodViaReflection", plan):
             return None, "scripts and Java methods are not allowed"
-        frame.write.format("noop").mode("overwrite").save()
+        if check:
+            frame.write.format("noop").mode("overwrite").save()
         return frame, None
     except PySparkException as error:
         return None, str(error)

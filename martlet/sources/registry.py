@@ -27,11 +27,12 @@ class Sources:
     one, else the lazy plan.
     """
 
-    def __init__(self, spark: SparkSession, reader: Callable[[str], DataFrame], label: str = ""):
+    def __init__(self, spark: SparkSession, reader: Callable[[str], DataFrame], label: str = "", unnumbered: dict[str, str] | None = None):
         allow_skew_splits(spark)
         self.spark = spark
         self.label = label
         self._reader = reader
+        self._unnumbered = unnumbered or {}
         self._tables: dict[str, DataFrame] = {}
         self._models: dict[str, DataFrame] = {}
         self.stored: dict[str, DataFrame] = {}
@@ -43,6 +44,10 @@ class Sources:
             self._tables[name] = self._reader(name)
         return self._tables[name]
 
+    def unnumbered(self, name: str) -> DataFrame:
+        """The table, without its row number if that would first have to be worked out; for those that don't need it."""
+        return self.table(self._unnumbered.get(name, name))
+
     def model(self, fn: Callable[[Sources], DataFrame]) -> DataFrame:
         name = fn.__name__
         if name in self.stored:
@@ -68,7 +73,8 @@ def file_sources(
 def derived_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """The logical sources derived from the star-schema test tables in ``sf_dir``."""
     raw = adapters.RawTables(spark, sf_dir)
-    return Sources(spark, lambda name: raw.adapted(adapters.ADAPTERS[name]), sf_dir)
+    made = {**adapters.ADAPTERS, "order_lines": adapters.order_lines}
+    return Sources(spark, lambda name: raw.adapted(made[name]), sf_dir, {"order_items": "order_lines"})
 
 
 def read_source(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:

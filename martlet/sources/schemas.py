@@ -72,6 +72,8 @@ MARKETING = {
 LEADS = {
     "web_events": """event_id long, customer_id string, event_type string, channel string,
         event_date date, value double""",
+    "web_hits": """event_id long, customer_id string, event_type string, channel string,
+        ts timestamp, value double, props string""",
     "lead_scoring_features": """contact_id string, sessions long, engaged_sessions long,
         page_views long, is_first_visit int, is_won int""",
 }

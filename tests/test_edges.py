@@ -166,7 +166,7 @@ def test_merge_keeps_unmatched_and_null_keys(spark):
 def test_full_join_keeps_both_sides(src):
     got = {r.channel: r for r in fct_channel_performance(src).collect()}
     assert got["google_ads"].total_orders == 0 and got["google_ads"].total_spend > 0
-    assert got["direct"].total_spend == 0.0 and got["direct"].attributed_revenue > 0
+    assert got["typed_in"].total_spend == 0.0 and got["typed_in"].attributed_revenue > 0
     assert all(r.cac == 0.0 and r.roas == 0.0 for r in got.values())
 
 

@@ -68,7 +68,7 @@ def test_run_sql_reads_only(spark):
                    "SELECT try_reflect('java.lang.Math', 'abs', 1)"):
         got, error = io.run_sql(spark, escape, {"numbers": df})
         assert got is None and "not allowed" in error
-    got, error = io.run_sql(spark, "SELECT 1 / 0 AS x", {})
+    got, error = io.run_sql(spark, "SELECT 1 / 0 AS x", {}, check=True)
     assert got is None and "DIVIDE_BY_ZERO" in error
     got, error = io.run_sql(spark, "SELECT nothing FROM numbers", {"numbers": df})
     assert got is None and "nothing" in error

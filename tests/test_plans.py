@@ -12,6 +12,7 @@ from tests.conftest import SF_DIR
 
 NEEDS_A_RUN = {
     "train_lead_model", "evaluate", "score_leads", "saved_model", "run_log", "routed_leads",
+    "traffic_windows_stream", "late_events_stream", "touch_sessions_stream",
     "read_csv_table", "write_table", "append", "run_checks_staging", "run_checks_marts",
 }
 
@@ -40,6 +41,8 @@ def test_no_query_pairs_all_rows_or_broadcasts_blindly(large):
         for line in text.splitlines():
             if "- Window [" in line:
                 assert not line.rstrip().endswith("[]"), name
+                # a constant partition key is an empty one in disguise
+                assert re.search(r"\], \[[^\]]*#", line), name
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
 
 
@@ -67,6 +70,13 @@ def test_the_flagship_shuffles_its_rows_twice(large):
     assert len(by) <= 7 and sum("_at" in b for b in by) == 2
 
 
+def test_items_are_not_numbered_for_nothing(large):
+    for name in ("dim_products", "top_categories"):
+        assert "_at" not in plan(large, name)
+    # the order fact numbers its touches only
+    assert len(re.findall(r"SortMergeJoin \[_at", plan(large, "fct_orders"))) == 1
+
+
 def test_touchpoints_join_on_equality_only(large):
     text = plan(large, "build_touchpoints")
     joins = [line for line in text.splitlines() if "Join" in line]
