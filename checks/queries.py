@@ -205,6 +205,35 @@ FROM (
 GROUP BY 1, 2, 3"""
 Q["late_events_stream"] = "SELECT channel, COUNT(*) AS late_events FROM hits WHERE event_id % 50 = 0 GROUP BY 1"
 
+# References, differences and attributes
+_EDGES = (
+    ("stg_order_items", "order_id", "stg_orders", "order_id"),
+    ("stg_order_payments", "order_id", "stg_orders", "order_id"),
+    ("stg_orders", "customer_id", "stg_customers", "customer_id"),
+    ("stg_customers", "customer_id", "stg_orders", "customer_id"),
+    ("stg_order_items", "seller_id", "stg_sellers", "seller_id"),
+    ("stg_sellers", "seller_id", "stg_order_items", "seller_id"),
+    ("hits", "customer_id", "stg_customers", "customer_unique_id"),
+)
+Q["reference_report"] = " UNION ALL ".join(
+    f"SELECT '{'web_hits' if a == 'hits' else a}' AS child, '{c}' AS \"column\", '{b}' AS parent, "
+    f"COUNT(DISTINCT {c}) AS missing_values, COUNT(*) AS missing_rows "
+    f"FROM {a} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM {b} WHERE {k} IS NOT NULL)"
+    for a, c, b, k in _EDGES
+)
+Q["places_changed"] = """
+SELECT city, state, CAST(SUM(o) AS BIGINT) AS old_copies, CAST(SUM(n) AS BIGINT) AS new_copies FROM (
+  SELECT customer_city AS city, customer_state AS state, 1 AS o, 0 AS n FROM stg_customers
+  UNION ALL SELECT seller_city, seller_state, 0, 1 FROM stg_sellers)
+GROUP BY city, state HAVING SUM(o) <> SUM(n)"""
+Q["event_attributes"] = """
+SELECT event_id, name, json_extract_string(props, '$."' || name || '"') AS value
+FROM (SELECT event_id, props, UNNEST(json_keys(props)) AS name FROM events)"""
+Q["attribute_by_channel"] = """
+SELECT channel, COUNT(k) AS events, MIN(k) AS least, MAX(k) AS most, CAST(SUM(k) AS BIGINT) AS total
+FROM (SELECT h.channel, CAST(json_extract(e.props, '$.k') AS BIGINT) AS k FROM hits h JOIN events e USING (event_id))
+GROUP BY channel"""
+
 # Platform tools
 Q["google_campaign_performance"] = f"""
 SELECT *, {div('clicks', 'impressions')} AS ctr, {div('cost', 'clicks')} AS cpc, {div('conversions', 'clicks')} AS cvr

@@ -14,6 +14,8 @@ from martlet.functions.frames import normalise_attribution
 from martlet.functions.numeric import count_if, half_up, money_sum
 from martlet.operators import builders, insights, panels, platform_tools, quality, scoring
 from martlet.operators.asof import asof_join
+from martlet.operators.attributes import attribute_rows, typed_attributes
+from martlet.operators.integrity import check_references, table_difference
 from martlet.operators.intermediate import INTERMEDIATE, int_campaign_unified, observed_spine, spine_filled
 from martlet.operators.marts import (
     MARTS,
@@ -26,6 +28,7 @@ from martlet.operators.marts import (
     time_decay_normalised,
 )
 from martlet.operators.sessions import gap_sessions
+from martlet.operators.sketches import daily_sketches, distinct_from_sketches
 from martlet.operators.staging import (
     STAGING,
     stg_customers,
@@ -606,3 +609,51 @@ _add(
     run_checks_marts=lambda src: quality.run_checks(src, quality.MART_CHECKS),
 )
 
+
+
+@query
+def reference_report(src: Sources) -> DataFrame:
+    """References between the staging tables, with the customers who never ordered and the products never sold."""
+    t = {fn.__name__: src.model(fn) for fn in (stg_orders, stg_order_items, stg_order_payments, stg_customers, stg_sellers)}
+    t["web_hits"] = src.table("web_hits")
+    edges = [
+        ("stg_order_items", "order_id", "stg_orders", "order_id"),
+        ("stg_order_payments", "order_id", "stg_orders", "order_id"),
+        ("stg_orders", "customer_id", "stg_customers", "customer_id"),
+        ("stg_customers", "customer_id", "stg_orders", "customer_id"),
+        ("stg_order_items", "seller_id", "stg_sellers", "seller_id"),
+        ("stg_sellers", "seller_id", "stg_order_items", "seller_id"),
+        ("web_hits", "customer_id", "stg_customers", "customer_unique_id"),
+    ]
+    return check_references([(a, t[a], column, b, t[b], key) for a, column, b, key in edges])
+
+
+@query
+def places_changed(src: Sources) -> DataFrame:
+    """Places of customers and of sellers as two bags: those held in different numbers."""
+    old = src.model(stg_customers).select(F.col("customer_city").alias("city"), F.col("customer_state").alias("state"))
+    new = src.model(stg_sellers).select(F.col("seller_city").alias("city"), F.col("seller_state").alias("state"))
+    return table_difference(old, new)
+
+
+# Attributes of web events
+
+@query
+def event_attributes(src: Sources) -> DataFrame:
+    return attribute_rows(src.table("web_hits"), ["event_id"], "props")
+
+
+@query
+def attribute_by_channel(src: Sources) -> DataFrame:
+    """Events, and range and sum of the attribute k, by channel."""
+    typed = typed_attributes(src.table("web_hits").select("channel", "props"), "props", "k long")
+    return typed.groupBy("channel").agg(
+        F.count("k").alias("events"), F.min("k").alias("least"), F.max("k").alias("most"), F.sum("k").alias("total")
+    )
+
+
+@query
+def visitors_from_sketches(src: Sources) -> DataFrame:
+    """Distinct visitors of all days by channel, merged from daily sketches; an estimate, so there is no SQL."""
+    hits = src.table("web_hits").select("channel", F.to_date("ts").alias("day"), "customer_id")
+    return distinct_from_sketches(daily_sketches(hits, ["channel"], "day", "customer_id"), ["channel"], "day")
