@@ -28,7 +28,6 @@ from martlet.operators.marts import (
     time_decay_normalised,
 )
 from martlet.operators.sessions import gap_sessions
-from martlet.operators.sketches import daily_sketches, distinct_from_sketches
 from martlet.operators.staging import (
     STAGING,
     stg_customers,
@@ -650,10 +649,3 @@ def attribute_by_channel(src: Sources) -> DataFrame:
     return typed.groupBy("channel").agg(
         F.count("k").alias("events"), F.min("k").alias("least"), F.max("k").alias("most"), F.sum("k").alias("total")
     )
-
-
-@query
-def visitors_from_sketches(src: Sources) -> DataFrame:
-    """Distinct visitors of all days by channel, merged from daily sketches; an estimate, so there is no SQL."""
-    hits = src.table("web_hits").select("channel", F.to_date("ts").alias("day"), "customer_id")
-    return distinct_from_sketches(daily_sketches(hits, ["channel"], "day", "customer_id"), ["channel"], "day")
