@@ -25,7 +25,8 @@ QUERIES_UNDER_SKEW = [
     "fct_orders", "fct_orders_positional", "fct_daily_revenue", "fct_pipeline", "int_customer_ltv",
     "int_funnel_stages", "fct_lead_scoring_features", "dim_customers", "dim_products", "top_categories",
     "revenue_by_state", "ga4_channel_summary", "fct_marketing_daily", "build_touchpoints",
-    "deal_stage_at_touch", "touch_sessions", "metric_cube", "reference_report", "attribute_by_channel", "evaluate",
+    "deal_stage_at_touch", "touch_sessions", "metric_cube", "reference_report", "attribute_by_channel",
+    "event_attributes", "places_changed", "evaluate",
     "assign_touch_credits", "contacts_rollup", "lead_features", "detect_anomalies", "kpi_summary",
 ]
 
