@@ -53,7 +53,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def planes(values: np.ndarray) -> bytes:
     """The values' first bytes, then their second ones, and so on: high bytes are mostly 0 and compress well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
 def from_planes(data: bytes, dtype: type) -> np.ndarray:

@@ -4,7 +4,7 @@ A document is the set of its distinct 5-word shingles, lower-cased A-Z; two docu
 the Jaccard similarity of their sets is at least 0.75. Equal sets form a class; a class links to itself
 and joins as one.
 
-1. Every class sends its shingles to buckets of the hash space, packed as bytes (6 a shingle, some 13 a
+1. Every class sends its shingles to buckets of the hash space, packed as bytes (5 a shingle, some 11 a
    class and bucket), and the bucket counts in how many classes each occurs. A shingle of one class can't be in
    an intersection, so only the others go back to their class.
 2. A class orders its shingles by that count, rarest first, ties by hash. Two linked sets share
@@ -15,9 +15,10 @@ and joins as one.
    at a shingle, twice, for a tighter bound, and the intersection decides. A pair is verified once.
 4. So that thousands of near copies are not compared pair by pair, each class is first compared with one other:
    the class with the fewest shingles of its own that it meets, the likeliest centre of the copies (two rounds). Classes found linked are in one component; after that only pairs of
-   different components that share a prefix shingle are compared, all of them.
+   different components that share a prefix shingle are compared, all of them. Components only grow, so a shingle in which
+   one component alone meets is left out of all later rounds.
 
-Shingles are 64-bit hashes.
+Shingles are 64-bit hashes; within a bucket 40 bits tell them apart.
 """
 
 from __future__ import annotations
@@ -40,7 +41,8 @@ KEY_BYTES = 10  # of a class's key
 BUCKET_SHINGLES = 2_500_000  # about 120 MB in the task that counts them
 FLUSH_SHINGLES = 1_000_000
 STAR_ROUNDS = 2
-_LOW = np.uint64((1 << 48) - 1)
+LOW_BYTES = 5  # of a shingle within its bucket
+_LOW = np.uint64((1 << 8 * LOW_BYTES) - 1)
 
 
 def prefix_length(n):
@@ -109,8 +111,9 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 
 def _packed(buckets: int, bucket: np.ndarray, low: np.ndarray, owner: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
-    """One row per bucket: its shingles' low 48 bits, and runs of shingles of one class."""
+    """One row per bucket: its shingles' low bits, and runs of shingles of one class, with the class's size at its first run and 0 at others."""
     order = np.argsort(bucket, kind="stable")
+    at_first = np.append(True, owner[1:] != owner[:-1])[order]  # owners come in order, so this is a class's first shingle
     bucket, low, owner = bucket[order], low[order], owner[order]
     borders = np.searchsorted(bucket, np.arange(buckets + 1))
     rows = []
@@ -119,8 +122,9 @@ def _packed(buckets: int, bucket: np.ndarray, low: np.ndarray, owner: np.ndarray
         run = np.flatnonzero(np.append(True, owner[part][1:] != owner[part][:-1]))
         who = owner[part][run]
         count = np.diff(np.append(run, part.stop - part.start)).astype(np.int32)
-        six = low[part].view(np.uint8).reshape(-1, 8)[:, :6]
-        rows.append((int(b), six.tobytes(), keys[who].tobytes(), planes(count), planes(sizes[who].astype(np.int32))))
+        low_bytes = low[part].view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES]
+        size = np.where(np.logical_or.reduceat(at_first[part], run), sizes[who], 0).astype(np.int32)
+        rows.append((int(b), low_bytes.tobytes(), keys[who].tobytes(), planes(count), planes(size)))
     names = ["bucket", "low", "set_keys", "counts", "sizes"]
     kinds = [pa.int32(), *[pa.binary()] * 4]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
@@ -174,8 +178,8 @@ _BACK = "part int, set_keys binary, sizes binary, lengths binary, shingles binar
 
 def _count_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     """The shingles of one bucket that occur in two or more classes, with their counts, packed by part of the classes."""
-    low = np.zeros((sum(map(len, pdf["low"])) // 6, 8), np.uint8)
-    low[:, :6] = np.frombuffer(b"".join(pdf["low"]), np.uint8).reshape(-1, 6)
+    low = np.zeros((sum(map(len, pdf["low"])) // LOW_BYTES, 8), np.uint8)
+    low[:, :LOW_BYTES] = np.frombuffer(b"".join(pdf["low"]), np.uint8).reshape(-1, LOW_BYTES)
     low = low.view(np.uint64).ravel()
     runs = np.concatenate([from_planes(x, np.int32) for x in pdf["counts"]])
     keys = np.frombuffer(b"".join(pdf["set_keys"]), np.uint8).reshape(-1, KEY_BYTES)
@@ -202,7 +206,7 @@ def _count_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     by_part = np.argsort(np.repeat(part, lengths), kind="stable")
     low, count = low[by_part], count[by_part]
     order = np.argsort(part, kind="stable")
-    order = order[lengths[order] > 0]
+    order = order[(lengths[order] > 0) | (sizes[order] > 0)]
     borders = np.searchsorted(part[order], np.arange(parts + 1))
     at = np.concatenate([[0], np.cumsum(lengths[order])])
     rows = []
@@ -221,7 +225,7 @@ def _order_rare_first(pdf: pd.DataFrame) -> pd.DataFrame:
     shingles = np.frombuffer(b"".join(pdf["shingles"]), np.uint64)
     counts = np.concatenate([from_planes(x, np.int32) for x in pdf["counts"]])
     _, first, code = _codes(keys)
-    keys, sizes = keys[first], sizes[first].astype(np.int64)
+    keys, sizes = keys[first], np.bincount(code, sizes, len(first)).astype(np.int64)  # one of a class's entries has its size
     shared = np.bincount(code, lengths, len(first)).astype(np.int64)
     own = sizes - shared
     some = own < prefix_length(sizes)
@@ -304,6 +308,7 @@ def class_links(docs: DataFrame, total_shingles: int) -> DataFrame:
     counted = _send_shingles(docs, buckets).groupBy("bucket").applyInPandas(lambda pdf: _count_bucket(pdf, buckets), _BACK)
     sets = stored(counted.groupBy("part").applyInPandas(_order_rare_first, "set_key binary, n int, own int, shingles binary"), "rare-first")
     prefixes = stored(sets.mapInArrow(_prefixes, "shingle long, set_key binary, n int, place int, own int"), "prefixes")
+    columns = prefixes.columns
     found = docs.sparkSession.createDataFrame([], "node binary, component binary")
     links = verified = None
     for turn in range(STAR_ROUNDS + 1):
@@ -315,15 +320,16 @@ def class_links(docs: DataFrame, total_shingles: int) -> DataFrame:
         # only shingles in which different components meet
         centre = F.min(F.struct("own", "set_key", "c", "n", "place")).alias("first")
         mixed = placed.groupBy(F.col("shingle").alias("s")).agg(centre, F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
-        meet = (F.col("shingle") == F.col("s")) & (F.col("c") != F.col("c2")) & _possible("n", "place", "m", "q")
+        possible = (F.col("c") != F.col("c2")) & _possible("n", "place", "m", "q")
         if turn < STAR_ROUNDS:
             other = mixed.select("s", F.col("first.c").alias("c2"), F.col("first.set_key").alias("k2"), F.col("first.n").alias("m"), F.col("first.place").alias("q"), F.col("first.own").alias("own2"))
-            pairs = placed.join(other, meet).groupBy("set_key").agg(F.min(F.struct("own2", "k2")).alias("with")).select("set_key", "with.k2")
+            met = stored(placed.join(other, F.col("shingle") == F.col("s")).drop("s"), "met")
+            pairs = met.filter(possible).groupBy("set_key").agg(F.min(F.struct("own2", "k2")).alias("with")).select("set_key", "with.k2")
+            prefixes = met.select(*columns)
         else:
-            other = placed.join(mixed.select("s"), F.col("shingle") == F.col("s"), "left_semi").select(
-                F.col("shingle").alias("s"), F.col("c").alias("c2"), F.col("set_key").alias("k2"), F.col("n").alias("m"), F.col("place").alias("q")
-            )
-            pairs = placed.join(other, meet & (F.col("set_key") < F.col("k2")))
+            met = stored(placed.join(mixed.select("s"), F.col("shingle") == F.col("s"), "left_semi"), "met")
+            other = met.select(F.col("shingle").alias("s"), F.col("c").alias("c2"), F.col("set_key").alias("k2"), F.col("n").alias("m"), F.col("place").alias("q"))
+            pairs = met.join(other, (F.col("shingle") == F.col("s")) & possible & (F.col("set_key") < F.col("k2")))
         pairs = pairs.select(F.least("set_key", "k2").alias("a"), F.greatest("set_key", "k2").alias("b")).distinct()
         if verified is not None:
             pairs = pairs.join(verified, ["a", "b"], "left_anti")
