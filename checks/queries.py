@@ -46,6 +46,7 @@ FROM stg_marketing_attribution"""
 Q["read_csv_table"] = "SELECT * FROM src_order_payments"
 Q["read_source"] = "SELECT * FROM src_customers"
 Q["write_table"] = "SELECT * FROM fct_marketing_daily"
+Q["marketing_daily_increments"] = "SELECT * FROM fct_marketing_daily"
 Q["append"] = "SELECT * FROM int_campaign_unified"
 Q["upsert"] = """
 SELECT customer_id, customer_unique_id, customer_zip_code_prefix,
@@ -510,6 +511,10 @@ WITH crm AS ({CRM}), aged AS (SELECT stage, step, (SELECT MAX(create_date) FROM
 SELECT stage, COUNT(*) AS deals, {_age('age <= 30')} AS age_0_30, {_age('age BETWEEN 31 AND 60')} AS age_31_60,
   {_age('age BETWEEN 61 AND 90')} AS age_61_90, {_age('age >= 91')} AS age_90_plus
 FROM aged WHERE {_OPEN} GROUP BY 1"""
+Q["deal_age_bands"] = f"""
+WITH crm AS ({CRM}), aged AS (SELECT stage, step, (SELECT MAX(create_date) FROM crm) - create_date AS age FROM crm),
+bands AS (SELECT * FROM (VALUES ('month_one', 0, 31), ('month_two', 31, 61), ('quarter', 0, 91), ('past_target', 45, NULL)) AS b(band, lo, hi))
+SELECT band, stage, COUNT(*) AS deals FROM aged JOIN bands ON age >= lo AND (hi IS NULL OR age < hi) WHERE {_OPEN} GROUP BY ALL"""
 Q["days_to_close"] = f"""
 SELECT avg_days, 90 AS target_days, avg_days <= 90 AS on_track
 FROM (SELECT AVG(close_date - create_date) AS avg_days FROM ({CRM}) WHERE step > 5)"""
@@ -656,6 +661,28 @@ SELECT *, CASE WHEN score > 0.8 THEN 'A' WHEN score > 0.5 THEN 'B' ELSE 'C' END
   CASE WHEN score > 0.8 THEN 'High priority: Instant sales follow-up' ELSE 'Nurture: Add to email drip' END AS recommendation
 FROM (SELECT contact_id, channel, TRUE AS score_keeps_rules,
   LEAST(0.75::DOUBLE * CASE channel WHEN 'Direct' THEN 1.2 WHEN 'Organic Search' THEN 1.1 ELSE 1 END::DOUBLE, 1) AS score FROM ({FEATURES}))"""
+_LONG = " UNION ALL ".join(
+    f"SELECT {i} AS feature, {c} AS v, 2 * is_won - 1 AS y FROM seen"
+    for i, c in enumerate(("sessions", "engaged_sessions", "page_views", "is_first_visit"))
+)
+# one split: the one of the least squared error; a side's probability follows from its mean of -1 and 1
+Q["stump_scores"] = f"""
+WITH leads AS (SELECT * FROM ({FEATURES}) JOIN ({Q['split']}) USING (contact_id)),
+seen AS (SELECT * FROM leads WHERE NOT is_test),
+folded AS (SELECT feature, v, COUNT(*) AS n, SUM(y) AS y FROM ({_LONG}) GROUP BY ALL),
+splits AS (SELECT feature, (v + LEAD(v) OVER w) / 2 AS cut, SUM(n) OVER w AS nl, SUM(y) OVER w AS yl,
+    SUM(n) OVER (PARTITION BY feature) AS nt, SUM(y) OVER (PARTITION BY feature) AS yt
+  FROM folded WINDOW w AS (PARTITION BY feature ORDER BY v)),
+best AS (SELECT feature, cut, yl::DOUBLE / nl AS low_mean, (yt - yl)::DOUBLE / (nt - nl) AS high_mean FROM splits WHERE nl < nt
+  ORDER BY yl::DOUBLE * yl / nl + (yt - yl)::DOUBLE * (yt - yl) / (nt - nl) DESC, feature, cut LIMIT 1),
+scored AS (SELECT contact_id, channel, LEAST(1::DOUBLE,
+    CASE channel WHEN 'Direct' THEN 1.2 WHEN 'Organic Search' THEN 1.1 ELSE 1 END::DOUBLE
+    / (1 + EXP(-2 * CASE WHEN CASE feature WHEN 0 THEN sessions WHEN 1 THEN engaged_sessions WHEN 2 THEN page_views
+      ELSE is_first_visit END <= cut THEN low_mean ELSE high_mean END))) AS exact FROM leads, best)
+SELECT contact_id, channel, {r('exact', 6)} AS score, exact > 0.8 AS alert,
+  CASE WHEN exact > 0.8 THEN 'A' WHEN exact > 0.5 THEN 'B' ELSE 'C' END AS lead_tier,
+  CASE WHEN exact > 0.8 THEN 'High priority: Instant sales follow-up' ELSE 'Nurture: Add to email drip' END AS recommendation
+FROM scored"""
 Q["run_log"] = """
 SELECT 'run-1' AS run_id, 'maxDepth=5,maxIter=100,seed=42,stepSize=0.1' AS params, 'accuracy,auc,f1,precision,recall' AS metrics"""
 Q["saved_model"] = f"SELECT contact_id, TRUE AS same_score FROM ({FEATURES})"

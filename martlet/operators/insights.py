@@ -387,6 +387,13 @@ def deal_age_heatmap(src: Sources, as_of: str | None = None) -> DataFrame:
     return counted.select("stage", "deals", *[share(b).alias(b) for b in buckets])
 
 
+def open_deal_ages(src: Sources) -> DataFrame:
+    """(stage, age, n): open deals by age in days at the latest creation date of any deal."""
+    daily = _crm(src).groupBy("stage", "create_date").agg(_rows().alias("n"))
+    today = daily.agg(F.max("create_date")).scalar()
+    return daily.filter(~_closed()).select("stage", F.datediff(today, F.col("create_date")).alias("age"), "n")
+
+
 def pipeline_velocity_days(src: Sources, target: int = 90) -> DataFrame:
     """Mean days from creation to close, against the target, one row."""
     days = F.datediff("close_date", "create_date")

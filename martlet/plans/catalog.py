@@ -15,8 +15,10 @@ from martlet.functions.numeric import count_if, half_up, money_sum
 from martlet.operators import builders, insights, panels, platform_tools, quality, scoring
 from martlet.operators.asof import asof_join
 from martlet.operators.attributes import attribute_rows, typed_attributes
+from martlet.operators.increments import read_mart, refresh_changed_months
 from martlet.operators.integrity import check_references, table_difference
 from martlet.operators.intermediate import INTERMEDIATE, int_campaign_unified, observed_spine, spine_filled
+from martlet.operators.intervals import range_join
 from martlet.operators.marts import (
     MARTS,
     channel_performance_by_platform,
@@ -544,6 +546,17 @@ def score_leads(src: Sources) -> DataFrame:
     return scoring.with_tier(scored.select("contact_id", "channel", own.alias("score_keeps_rules"), fixed.alias("score")))
 
 
+@query
+def stump_scores(src: Sources) -> DataFrame:
+    """Scores, tiers and alerts of a model of one tree with one split, which SQL can state in full."""
+    leads = scoring.split(scoring.lead_features(src))
+    model = scoring.train_lead_model(leads.filter(~F.col("is_test")), maxIter=1, maxDepth=1, maxBins=1024)
+    score = F.col("score")
+    return scoring.score_leads(model, leads).select(
+        "contact_id", "channel", half_up(score, 6).alias("score"), "lead_tier", "recommendation", (score > 0.8).alias("alert")
+    )
+
+
 @query
 def lead_tier(src: Sources) -> DataFrame:
     """Tier and recommendation of the rule score."""
@@ -649,3 +662,30 @@ def attribute_by_channel(src: Sources) -> DataFrame:
     return typed.groupBy("channel").agg(
         F.count("k").alias("events"), F.min("k").alias("least"), F.max("k").alias("most"), F.sum("k").alias("total")
     )
+
+
+# Ranges and increments
+
+
+@query
+def deal_age_bands(src: Sources) -> DataFrame:
+    """Open deals by stage in bands of age that overlap, the last without an end; ages at the latest creation."""
+    bands = [("month_one", 0, 31), ("month_two", 31, 61), ("quarter", 0, 91), ("past_target", 45, None)]
+    rows = [F.struct(F.lit(n).alias("band"), F.lit(a).alias("from_age"), F.lit(b).cast("int").alias("to_age")) for n, a, b in bands]
+    # one row per stage and age before the join
+    met = range_join(insights.open_deal_ages(src), "age", src.spark.range(1).select(F.inline(F.array(*rows))), "from_age", "to_age")
+    return met.groupBy("band", "stage").agg(F.sum("n").alias("deals"))
+
+
+@query
+def marketing_daily_increments(src: Sources) -> DataFrame:
+    """``fct_marketing_daily`` taken in by three loads: odd months, even months, and the fifteenth of every fourth month late."""
+    names = ("google_ads_daily_performance", "meta_ads_daily_performance", "ga4_daily_sessions")
+    late = (F.dayofmonth("date") == 15) & (F.month("date") % 4 == 0)
+    load = F.when(late, 3).otherwise(F.when(F.month("date") % 2 == 1, 1).otherwise(2)).cast("long")
+    tables = {n: src.table(n).withColumn("load_id", load) for n in names}
+    path = scratch_dir(src.spark, "increments")
+    for last in (1, 2, 3):
+        seen = {n: df.filter(F.col("load_id") <= last) for n, df in tables.items()}
+        refresh_changed_months(seen, fct_marketing_daily, path)
+    return read_mart(src.spark, path)

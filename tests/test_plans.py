@@ -14,6 +14,7 @@ NEEDS_A_RUN = {
     "train_lead_model", "evaluate", "score_leads", "saved_model", "run_log", "routed_leads",
     "traffic_windows_stream", "late_events_stream", "touch_sessions_stream",
     "read_csv_table", "write_table", "append", "run_checks_staging", "run_checks_marts",
+    "stump_scores", "marketing_daily_increments",
 }
 
 

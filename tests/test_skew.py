@@ -26,7 +26,7 @@ QUERIES_UNDER_SKEW = [
     "int_funnel_stages", "fct_lead_scoring_features", "dim_customers", "dim_products", "top_categories",
     "revenue_by_state", "ga4_channel_summary", "fct_marketing_daily", "build_touchpoints",
     "deal_stage_at_touch", "touch_sessions", "metric_cube", "reference_report", "attribute_by_channel",
-    "event_attributes", "places_changed", "evaluate",
+    "event_attributes", "places_changed", "evaluate", "stump_scores", "deal_age_bands", "marketing_daily_increments",
     "assign_touch_credits", "contacts_rollup", "lead_features", "detect_anomalies", "kpi_summary",
 ]
 
