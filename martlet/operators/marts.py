@@ -6,7 +6,7 @@ the order key, so their shuffles line up and the joins add none.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.metrics import time_decay_credit
@@ -187,8 +187,8 @@ def fct_marketing_attribution(src: Sources, half_life: float = 7.0) -> DataFrame
 def time_decay_normalised(src: Sources, half_life: float = 7.0) -> DataFrame:
     """Time-decay revenue per channel with the credits of each order scaled to sum to 1.
 
-    The order's sum of weights is a grouped aggregate joined back, not a window, so an order
-    with very many touches is combined map-side and split by the skew join.
+    The touches are folded to (order, channel) before the order's weights are summed, so the window holds one row per
+    channel of an order, however many touches the order has, and the folded rows are worked out once.
     """
     decay = time_decay_credit(F.col("touchpoint_date"), F.col("order_date"), half_life)
     weighted = src.model(stg_marketing_attribution).select(
@@ -197,9 +197,10 @@ def time_decay_normalised(src: Sources, half_life: float = 7.0) -> DataFrame:
     folded = weighted.groupBy("order_id", "channel").agg(
         F.sum("_weight").alias("_weight"), F.max("order_revenue").alias("order_revenue")
     )
-    sums = folded.groupBy("order_id").agg(F.sum("_weight").alias("_all"))
+    all_weights = F.sum("_weight").over(Window.partitionBy("order_id"))
     return (
-        folded.join(sums, "order_id")
+        folded.filter(F.col("order_id").isNotNull())
+        .withColumn("_all", all_weights)
         .groupBy("channel")
         .agg(
             money_sum(F.col("order_revenue") * F.col("_weight") / F.col("_all")).alias("time_decay_revenue"),
