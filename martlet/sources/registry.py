@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.session import allow_skew_splits
+from martlet.session import fit_joins
 from martlet.sources import adapters
 from martlet.sources.io import read_csv_table
 from martlet.sources.schemas import SCHEMAS, schema_of
@@ -28,7 +28,7 @@ class Sources:
     """
 
     def __init__(self, spark: SparkSession, reader: Callable[[str], DataFrame], label: str = "", unnumbered: dict[str, str] | None = None):
-        allow_skew_splits(spark)
+        fit_joins(spark)
         self.spark = spark
         self.label = label
         self._reader = reader
