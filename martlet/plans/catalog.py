@@ -500,10 +500,10 @@ _add(
 # Lead scoring
 
 
-def _lead_model(src: Sources) -> PipelineModel:
-    """The model of these tables, trained once for each ``Sources``."""
+def _lead_model(src: Sources, features: DataFrame | None = None) -> PipelineModel:
+    """The model of these tables, trained once for each ``Sources``; ``features`` are the lead features where they are stored already."""
     if "lead_model" not in src.memo:
-        leads = scoring.split(scoring.lead_features(src))
+        leads = scoring.split(scoring.lead_features(src) if features is None else features)
         src.memo["lead_model"] = scoring.train_lead_model(leads.filter(~F.col("is_test")))
     return src.memo["lead_model"]
 
@@ -594,16 +594,18 @@ _add(
 @query
 def routed_leads(src: Sources) -> DataFrame:
     """Leads arriving as files, scored and routed by a streaming job; whether each is routed as its score says."""
-    leads = scoring.lead_features(src).drop("is_won")
     base = scratch_dir(src.spark, "routing")
-    leads.write.parquet(f"{base}/inbox")
-    schema = StructType([f for f in leads.schema.fields])
+    # worked out once: the model learns from these files, the stream takes them in without the outcome, and they are scored again
+    scoring.lead_features(src).write.parquet(f"{base}/inbox")
+    stored = src.spark.read.parquet(f"{base}/inbox")
+    leads = stored.drop("is_won")
+    model = _lead_model(src, stored)
     routed = route_leads(
-        src.spark, f"{base}/inbox", schema, _lead_model(src), f"{base}/alerts", f"{base}/checkpoint", files_per_trigger=4
+        src.spark, f"{base}/inbox", StructType(leads.schema.fields), model, f"{base}/alerts", f"{base}/checkpoint", files_per_trigger=4
     )
     alerts = routed.groupBy("contact_id").agg(F.count(F.lit(1)).alias("alerts"))
     due = F.when(F.col("score") > 0.8, 1).otherwise(0)
-    scored = scoring.score_leads(_lead_model(src), leads).select("contact_id", due.alias("due"))
+    scored = scoring.score_leads(model, leads).select("contact_id", due.alias("due"))
     return scored.join(alerts, "contact_id", "left").select(
         "contact_id", (F.coalesce("alerts", F.lit(0)) == F.col("due")).alias("routed_by_score")
     )

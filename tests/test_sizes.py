@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from martlet.operators import scoring
+from martlet.plans.catalog import QUERIES
 from martlet.session import initial_partitions
 from martlet.sources.registry import derived_sources
 from tests.conftest import SF_DIR
@@ -36,3 +38,14 @@ def test_partitions_to_start_from_follow_the_input():
     for size in (10**11, 10**12, 3 * 10**12):
         assert size / initial_partitions(size) < 40e6
     assert initial_partitions(10**14) == 100_000
+
+
+def test_lead_features_are_worked_out_once_for_routing(src, monkeypatch):
+    made = []
+    features = scoring.lead_features
+    monkeypatch.setattr(scoring, "lead_features", lambda s: made.append(1) or features(s))
+    monkeypatch.setattr(scoring, "PARAMS", {**scoring.PARAMS, "maxIter": 2})
+    fresh = derived_sources(src.spark, SF_DIR)
+    rows = QUERIES["routed_leads"](fresh).collect()
+    assert len(made) == 1
+    assert len(rows) == features(fresh).count() and all(r.routed_by_score for r in rows)
