@@ -4,8 +4,10 @@ A document is the set of its distinct 5-word shingles, lower-cased A-Z; two docu
 the Jaccard similarity of their sets is at least 0.75. Equal sets form a class; a class links to itself
 and joins as one.
 
-1. Every class sends its shingles to buckets of the hash space, packed as bytes (5 a shingle, some 11 a
-   class and bucket), and the bucket counts in how many classes each occurs. A shingle of one class can't be in
+1. Every class sends its shingles to buckets of the hash space, packed as bytes (5 a shingle, some 2 a
+   class and bucket), and the bucket counts in how many classes each occurs. In the buckets a class goes by its number
+   in the task that sent it. Only classes that may have copies in other tasks, as a bitmap over the hashes of repeated
+   keys tells, go by 63 bits of their key, so that copies count once. A shingle of one class can't be in
    an intersection, so only the others go back to their class.
 2. A class orders its shingles by that count, rarest first, ties by hash. Two linked sets share
    a shingle within the first n - ceil(0.75 n) + 1 of each (the prefix). A class whose prefix holds only shingles
@@ -23,11 +25,13 @@ Shingles are 64-bit hashes; within a bucket 40 bits tell them apart.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +44,11 @@ SIMILAR = (3, 4)  # 0.75 as a fraction
 KEY_BYTES = 10  # of a class's key
 BUCKET_SHINGLES = 2_500_000  # about 120 MB in the task that counts them
 FLUSH_SHINGLES = 1_000_000
+FILTER_BITS = (1 << 15, 1 << 27)  # of the bitmap, least and most: 16 MB; a bit set in vain costs a class some bytes and nothing else
 STAR_ROUNDS = 2
 LOW_BYTES = 5  # of a shingle within its bucket
 _LOW = np.uint64((1 << 8 * LOW_BYTES) - 1)
+_COPIED = np.uint64(1 << 63)
 
 
 def prefix_length(n):
@@ -110,8 +116,44 @@ def document_sets(docs: DataFrame) -> DataFrame:
     return named.mapInArrow(run, f"doc_id {kind}, k long, n_shingles long, set_key binary")
 
 
-def _packed(buckets: int, bucket: np.ndarray, low: np.ndarray, owner: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
-    """One row per bucket: its shingles' low bits, and runs of shingles of one class, with the class's size at its first run and 0 at others."""
+def _number(keys: np.ndarray) -> np.ndarray:
+    """63 bits of each key, below a set bit that tells them from the numbers of classes without copies."""
+    wide = np.zeros((len(keys), 16), np.uint8)
+    wide[:, :KEY_BYTES] = keys
+    wide = wide.view(np.uint64)
+    return wide[:, 0] ^ mix(wide[:, 1]) | _COPIED
+
+
+def _low_bytes(low: np.ndarray) -> np.ndarray:
+    return low.view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES]
+
+
+def _from_low_bytes(data: bytes) -> np.ndarray:
+    low = np.zeros((len(data) // LOW_BYTES, 8), np.uint8)
+    low[:, :LOW_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, LOW_BYTES)
+    return low.view(np.uint64).ravel()
+
+
+def repeated_keys(sets: DataFrame, documents: int) -> np.ndarray:
+    """A bitmap, as bytes, over the first bytes of the keys that two or more documents have; it comes to the driver, 16 MB at most."""
+    size = min(max(FILTER_BITS[0], 1 << (8 * documents).bit_length()), FILTER_BITS[1])
+    repeated = sets.filter("n_shingles > 0").groupBy("set_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Spark's bitmaps count from 1
+    place = F.conv(F.hex(F.substring("set_key", 1, 4)), 16, 10).cast("long") % size + 1
+    marked = repeated.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("at"))
+    out = np.zeros((size // FILTER_BITS[0], FILTER_BITS[0] // 8), np.uint8)
+    for b, bits in marked.groupBy("b").agg(F.bitmap_construct_agg("at")).collect():
+        out[b - 1] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
+def _marked(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = np.ascontiguousarray(keys[:, :4]).view(">u4").ravel().astype(np.int64) % (8 * len(bitmap))
+    return bitmap[at >> 3] >> (at & 7) & 1 == 1
+
+
+def _packed(buckets: int, bucket: np.ndarray, low: np.ndarray, owner: np.ndarray, ids: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    """One row per bucket: its shingles' low bits, and runs of shingles of one class; a class's first run has its size and key, others 0 and none."""
     order = np.argsort(bucket, kind="stable")
     at_first = np.append(True, owner[1:] != owner[:-1])[order]  # owners come in order, so this is a class's first shingle
     bucket, low, owner = bucket[order], low[order], owner[order]
@@ -122,25 +164,32 @@ def _packed(buckets: int, bucket: np.ndarray, low: np.ndarray, owner: np.ndarray
         run = np.flatnonzero(np.append(True, owner[part][1:] != owner[part][:-1]))
         who = owner[part][run]
         count = np.diff(np.append(run, part.stop - part.start)).astype(np.int32)
-        low_bytes = low[part].view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES]
-        size = np.where(np.logical_or.reduceat(at_first[part], run), sizes[who], 0).astype(np.int32)
-        rows.append((int(b), low_bytes.tobytes(), keys[who].tobytes(), planes(count), planes(size)))
-    names = ["bucket", "low", "set_keys", "counts", "sizes"]
-    kinds = [pa.int32(), *[pa.binary()] * 4]
+        first = np.logical_or.reduceat(at_first[part], run)
+        size = np.where(first, sizes[who], 0).astype(np.int32)
+        rows.append((int(b), _low_bytes(low[part]).tobytes(), planes(ids[who]), planes(count), planes(size), keys[who[first]].tobytes()))
+    names = ["bucket", "low", "ids", "counts", "sizes", "set_keys"]
+    kinds = [pa.int32(), *[pa.binary()] * 5]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
-def _send_shingles(docs: DataFrame, buckets: int) -> DataFrame:
+def _send_shingles(docs: DataFrame, buckets: int, bitmap: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # copies within a task are sent once
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        numbers = itertools.count(TaskContext.get().partitionId() << 40)  # 2^40 classes a task, 2^23 tasks
 
         def flush() -> pa.RecordBatch:
-            keys = np.stack([k for k, _, _ in held])
-            sizes = np.array([len(h) for _, h, _ in held])
-            hashes = np.concatenate([h for _, h, _ in held])
-            owner = np.repeat(np.arange(len(held)), sizes)
-            return _packed(buckets, (hashes >> np.uint64(40)) % np.uint64(buckets), hashes & _LOW, owner, keys, sizes)
+            copied = _marked(bitmap, np.stack([k for k, _ in held]))
+            # numbers first, so that their equal high bytes lie together
+            chosen = [held[i] for i in np.argsort(copied, kind="stable")]
+            keys = np.stack([k for k, _ in chosen])
+            ids = _number(keys)
+            plain = len(held) - int(copied.sum())
+            ids[:plain] = list(itertools.islice(numbers, plain))
+            sizes = np.array([len(h) for _, h in chosen])
+            hashes = np.concatenate([h for _, h in chosen])
+            owner = np.repeat(np.arange(len(chosen)), sizes)
+            return _packed(buckets, (hashes >> np.uint64(40)) % np.uint64(buckets), hashes & _LOW, owner, ids, keys, sizes)
 
         waiting = 0
         for batch in batches:
@@ -151,7 +200,7 @@ def _send_shingles(docs: DataFrame, buckets: int) -> DataFrame:
                     name = keys[t].tobytes()
                     if name not in seen:
                         seen.add(name)
-                        held.append((keys[t], hashes[borders[t] : borders[t + 1]], None))
+                        held.append((keys[t], hashes[borders[t] : borders[t + 1]]))
                         waiting += borders[t + 1] - borders[t]
                 if waiting >= FLUSH_SHINGLES:
                     yield flush()
@@ -160,36 +209,26 @@ def _send_shingles(docs: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select("text").mapInArrow(run, "bucket int, low binary, set_keys binary, counts binary, sizes binary")
+    return docs.select("text").mapInArrow(run, "bucket int, low binary, ids binary, counts binary, sizes binary, set_keys binary")
 
 
-def _codes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(one 64-bit number per key, first row of each distinct key, code of each row)."""
-    wide = np.zeros((len(keys), 16), np.uint8)
-    wide[:, :KEY_BYTES] = keys
-    wide = wide.view(np.uint64)
-    number = wide[:, 0] ^ mix(wide[:, 1])
-    _, first, code = np.unique(number, return_index=True, return_inverse=True)
-    return number, first, code
-
-
-_BACK = "part int, set_keys binary, sizes binary, lengths binary, shingles binary, counts binary"
+_BACK = "part int, bucket int, ids binary, set_keys binary, sizes binary, lengths binary, low binary, counts binary"
 
 
 def _count_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     """The shingles of one bucket that occur in two or more classes, with their counts, packed by part of the classes."""
-    low = np.zeros((sum(map(len, pdf["low"])) // LOW_BYTES, 8), np.uint8)
-    low[:, :LOW_BYTES] = np.frombuffer(b"".join(pdf["low"]), np.uint8).reshape(-1, LOW_BYTES)
-    low = low.view(np.uint64).ravel()
+    low = _from_low_bytes(b"".join(pdf["low"]))
     runs = np.concatenate([from_planes(x, np.int32) for x in pdf["counts"]])
+    ids = np.concatenate([from_planes(x, np.uint64) for x in pdf["ids"]])
     keys = np.frombuffer(b"".join(pdf["set_keys"]), np.uint8).reshape(-1, KEY_BYTES)
     sizes = np.concatenate([from_planes(x, np.int32) for x in pdf["sizes"]])
     # a class whose copies lie in several tasks was sent by each of them: its first run stays
-    number, first, _ = _codes(keys)
-    one = np.zeros(len(runs), bool)
-    one[first] = True
+    copied = np.flatnonzero(ids >= _COPIED)
+    one = ids < _COPIED
+    one[copied[np.unique(ids[copied], return_index=True)[1]]] = True
     low = low[np.repeat(one, runs)]
-    runs, keys, sizes, number = runs[one], keys[one], sizes[one], number[one]
+    keys = keys[one[sizes > 0]]
+    runs, ids, sizes = runs[one], ids[one], sizes[one]
     order = np.argsort(low)
     new = np.flatnonzero(np.append(True, np.diff(low[order]) != 0)) if len(low) else np.zeros(0, int)
     times = np.diff(np.append(new, len(low))).astype(np.int32)
@@ -201,32 +240,43 @@ def _count_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     np.cumsum(shared, out=held[1:])
     ends = np.cumsum(runs)
     lengths = (held[ends] - held[ends - runs]).astype(np.int32)
-    part = (number % np.uint64(parts)).astype(np.int64)
-    low, count = mix(low[shared] ^ mix(np.uint64([pdf["bucket"].iloc[0]]))), count[shared]
-    by_part = np.argsort(np.repeat(part, lengths), kind="stable")
-    low, count = low[by_part], count[by_part]
-    order = np.argsort(part, kind="stable")
+    low, count = low[shared], count[shared]
+    part = (mix(ids) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((ids, part))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    in_order = np.argsort(np.repeat(rank, lengths), kind="stable")
+    low, count = low[in_order], count[in_order]
+    key_at = np.cumsum(sizes > 0) - 1
     order = order[(lengths[order] > 0) | (sizes[order] > 0)]
     borders = np.searchsorted(part[order], np.arange(parts + 1))
     at = np.concatenate([[0], np.cumsum(lengths[order])])
+    bucket = int(pdf["bucket"].iloc[0])
     rows = []
     for p in np.flatnonzero(np.diff(borders)):
         who = order[borders[p] : borders[p + 1]]
         tokens = slice(at[borders[p]], at[borders[p + 1]])
-        rows.append((p, keys[who].tobytes(), planes(sizes[who]), planes(lengths[who]), low[tokens].tobytes(), planes(count[tokens])))
-    return pd.DataFrame(rows, columns=["part", "set_keys", "sizes", "lengths", "shingles", "counts"])
+        first = who[sizes[who] > 0]
+        rows.append(
+            (p, bucket, planes(ids[who]), keys[key_at[first]].tobytes(), planes(sizes[who]), planes(lengths[who]), _low_bytes(low[tokens]).tobytes(), planes(count[tokens]))
+        )
+    return pd.DataFrame(rows, columns=["part", "bucket", "ids", "set_keys", "sizes", "lengths", "low", "counts"])
 
 
 def _order_rare_first(pdf: pd.DataFrame) -> pd.DataFrame:
     """The classes of one part whose prefix has a shared shingle, with their shared shingles, rarest first."""
-    keys = np.frombuffer(b"".join(pdf["set_keys"]), np.uint8).reshape(-1, KEY_BYTES)
+    ids = np.concatenate([from_planes(x, np.uint64) for x in pdf["ids"]])
     sizes = np.concatenate([from_planes(x, np.int32) for x in pdf["sizes"]])
     lengths = np.concatenate([from_planes(x, np.int32) for x in pdf["lengths"]])
-    shingles = np.frombuffer(b"".join(pdf["shingles"]), np.uint64)
+    buckets = np.repeat(mix(pdf["bucket"].to_numpy()), [len(x) // LOW_BYTES for x in pdf["low"]])
+    shingles = mix(_from_low_bytes(b"".join(pdf["low"])) ^ buckets)
     counts = np.concatenate([from_planes(x, np.int32) for x in pdf["counts"]])
-    _, first, code = _codes(keys)
-    keys, sizes = keys[first], np.bincount(code, sizes, len(first)).astype(np.int64)  # one of a class's entries has its size
-    shared = np.bincount(code, lengths, len(first)).astype(np.int64)
+    ids, code = np.unique(ids, return_inverse=True)
+    # one of a class's entries has its size and key
+    keys = np.empty((len(ids), KEY_BYTES), np.uint8)
+    keys[code[sizes > 0]] = np.frombuffer(b"".join(pdf["set_keys"]), np.uint8).reshape(-1, KEY_BYTES)
+    sizes = np.bincount(code, sizes, len(ids)).astype(np.int64)
+    shared = np.bincount(code, lengths, len(ids)).astype(np.int64)
     own = sizes - shared
     some = own < prefix_length(sizes)
     owner = np.repeat(code, lengths)
@@ -237,6 +287,7 @@ def _order_rare_first(pdf: pd.DataFrame) -> pd.DataFrame:
     who = np.flatnonzero(some)
     return pd.DataFrame(
         {
+            "id": ids[who].view(np.int64),
             "set_key": [keys[i].tobytes() for i in who],
             "n": sizes[who],
             "own": own[who],
@@ -254,7 +305,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if parts:
             who, tokens, *rest = (np.concatenate(x) for x in zip(*parts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens), batch.column("set_key").take(pa.array(who)), *map(pa.array, rest)], names=["shingle", "set_key", "n", "place", "own"]
+                [pa.array(tokens), batch.column("id").take(pa.array(who)), *map(pa.array, rest)], names=["shingle", "id", "n", "place", "own"]
             )
 
 
@@ -296,41 +347,41 @@ def _possible(n: str, p: str, m: str, q: str):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    x = sets.select(F.col("set_key").alias("kx"), F.col("shingles").alias("x"), "n")
-    y = sets.select(F.col("set_key").alias("ky"), F.col("shingles").alias("y"), F.col("n").alias("m"))
+    x = sets.select(F.col("id").alias("kx"), F.col("shingles").alias("x"), "n")
+    y = sets.select(F.col("id").alias("ky"), F.col("shingles").alias("y"), F.col("n").alias("m"))
     both = pairs.join(x, F.col("a") == F.col("kx")).join(y, F.col("b") == F.col("ky"))
-    return both.select("a", "b", "x", "y", "n", "m").mapInArrow(_verify, "a binary, b binary")
+    return both.select("a", "b", "x", "y", "n", "m").mapInArrow(_verify, "a long, b long")
 
 
-def class_links(docs: DataFrame, total_shingles: int) -> DataFrame:
-    """(node, component) of all classes with a link to another class."""
+def class_links(docs: DataFrame, total_shingles: int, bitmap: np.ndarray) -> DataFrame:
+    """(node, component) of all classes with a link to another class: their keys."""
     buckets = max(1, -(-total_shingles // BUCKET_SHINGLES))
-    counted = _send_shingles(docs, buckets).groupBy("bucket").applyInPandas(lambda pdf: _count_bucket(pdf, buckets), _BACK)
-    sets = stored(counted.groupBy("part").applyInPandas(_order_rare_first, "set_key binary, n int, own int, shingles binary"), "rare-first")
-    prefixes = stored(sets.mapInArrow(_prefixes, "shingle long, set_key binary, n int, place int, own int"), "prefixes")
+    counted = _send_shingles(docs, buckets, bitmap).groupBy("bucket").applyInPandas(lambda pdf: _count_bucket(pdf, buckets), _BACK)
+    sets = stored(counted.groupBy("part").applyInPandas(_order_rare_first, "id long, set_key binary, n int, own int, shingles binary"), "rare-first")
+    prefixes = stored(sets.mapInArrow(_prefixes, "shingle long, id long, n int, place int, own int"), "prefixes")
     columns = prefixes.columns
-    found = docs.sparkSession.createDataFrame([], "node binary, component binary")
+    found = docs.sparkSession.createDataFrame([], "node long, component long")
     links = verified = None
     for turn in range(STAR_ROUNDS + 1):
-        placed = prefixes.withColumn("c", F.col("set_key"))
+        placed = prefixes.withColumn("c", F.col("id"))
         if links is not None:
-            placed = prefixes.join(found, F.col("set_key") == F.col("node"), "left").select(
-                "shingle", "set_key", "n", "place", "own", F.coalesce("component", "set_key").alias("c")
+            placed = prefixes.join(found, F.col("id") == F.col("node"), "left").select(
+                "shingle", "id", "n", "place", "own", F.coalesce("component", "id").alias("c")
             )
         # only shingles in which different components meet
-        centre = F.min(F.struct("own", "set_key", "c", "n", "place")).alias("first")
+        centre = F.min(F.struct("own", "id", "c", "n", "place")).alias("first")
         mixed = placed.groupBy(F.col("shingle").alias("s")).agg(centre, F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
         possible = (F.col("c") != F.col("c2")) & _possible("n", "place", "m", "q")
         if turn < STAR_ROUNDS:
-            other = mixed.select("s", F.col("first.c").alias("c2"), F.col("first.set_key").alias("k2"), F.col("first.n").alias("m"), F.col("first.place").alias("q"), F.col("first.own").alias("own2"))
+            other = mixed.select("s", F.col("first.c").alias("c2"), F.col("first.id").alias("k2"), F.col("first.n").alias("m"), F.col("first.place").alias("q"), F.col("first.own").alias("own2"))
             met = stored(placed.join(other, F.col("shingle") == F.col("s")).drop("s"), "met")
-            pairs = met.filter(possible).groupBy("set_key").agg(F.min(F.struct("own2", "k2")).alias("with")).select("set_key", "with.k2")
+            pairs = met.filter(possible).groupBy("id").agg(F.min(F.struct("own2", "k2")).alias("with")).select("id", "with.k2")
             prefixes = met.select(*columns)
         else:
             met = stored(placed.join(mixed.select("s"), F.col("shingle") == F.col("s"), "left_semi"), "met")
-            other = met.select(F.col("shingle").alias("s"), F.col("c").alias("c2"), F.col("set_key").alias("k2"), F.col("n").alias("m"), F.col("place").alias("q"))
-            pairs = met.join(other, (F.col("shingle") == F.col("s")) & possible & (F.col("set_key") < F.col("k2")))
-        pairs = pairs.select(F.least("set_key", "k2").alias("a"), F.greatest("set_key", "k2").alias("b")).distinct()
+            other = met.select(F.col("shingle").alias("s"), F.col("c").alias("c2"), F.col("id").alias("k2"), F.col("n").alias("m"), F.col("place").alias("q"))
+            pairs = met.join(other, (F.col("shingle") == F.col("s")) & possible & (F.col("id") < F.col("k2")))
+        pairs = pairs.select(F.least("id", "k2").alias("a"), F.greatest("id", "k2").alias("b")).distinct()
         if verified is not None:
             pairs = pairs.join(verified, ["a", "b"], "left_anti")
         pairs = stored(pairs, "candidates")
@@ -341,14 +392,16 @@ def class_links(docs: DataFrame, total_shingles: int) -> DataFrame:
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             found = components(links)
-    return found
+    node, component = (sets.select(F.col("id").alias(f"{c}_id"), F.col("set_key").alias(f"{c}_key")) for c in found.columns)
+    named = found.join(node, F.col("node") == F.col("node_id")).join(component, F.col("component") == F.col("component_id"))
+    return named.select(F.col("node_key").alias("node"), F.col("component_key").alias("component")).distinct()
 
 
 def _placed(docs: DataFrame) -> DataFrame:
     """(doc_id, k, n_shingles, c) with the component of each document, null for empty sets."""
     sets = stored(document_sets(docs), "sets")
-    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    found = class_links(docs, int(total))
+    total, documents = sets.agg(F.sum("n_shingles"), F.count(F.lit(1))).first()
+    found = class_links(docs, int(total or 0), repeated_keys(sets, documents))
     full = F.col("n_shingles") > 0
     return sets.join(found, (F.col("set_key") == F.col("node")) & full, "left").select(
         "doc_id", "k", "n_shingles", F.when(full, F.coalesce("component", "set_key")).alias("c")

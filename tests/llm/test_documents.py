@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -110,6 +112,27 @@ def test_ngram_join(docs, rows, bucket, monkeypatch):
     assert ngram_join.link_documents(empty(docs)).count() == 0
 
 
+def test_a_class_sends_its_key_once(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * 7919 + j * 31) % 100003}" for j in range(60)) for i in range(200)]
+    # each text twice or more in its task, five of them in both
+    rows = list(enumerate(texts[:100] * 2 + texts[:5] + texts[100:] * 2 + texts[:5]))
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    sets = ngram_join.document_sets(docs)
+    bitmap = ngram_join.repeated_keys(sets.dropDuplicates(["set_key"]), 410)
+    assert not bitmap.any() and ngram_join.repeated_keys(sets, 410).any()
+    sent = ngram_join._send_shingles(docs, 40, bitmap).collect()
+    # the rest are numbers, of which the high bytes compress; a bucket has some runs of all classes
+    assert len(sent) == 80 and sum(len(r.set_keys) for r in sent) == ngram_join.KEY_BYTES * 205
+    assert sum(len(zlib.compress(r.ids)) for r in sent) < 3 * sum(len(r.counts) // 4 for r in sent)
+    expected = answers(ngram_join.link_documents(docs))
+    assert len({r[2] for r in expected}) < len(rows)
+    # the bitmap decides how classes are named, not what is found
+    for byte in (0, 255):
+        monkeypatch.setattr(ngram_join, "repeated_keys", lambda *_, b=byte: np.full(1 << 12, b, np.uint8))
+        monkeypatch.setattr(ngram_join, "BUCKET_SHINGLES", 1000)
+        assert answers(ngram_join.link_documents(docs)) == expected
+
+
 def test_keep_one(docs, rows):
     sets, group = components_of(rows)
     kept = ngram_join.keep_one(docs)
